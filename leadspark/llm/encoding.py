@@ -202,7 +202,7 @@ def single_byte(s: str, contexts: Contexts | None) -> str | None:
                 t[i] = c
             text = "".join(t)
             if contexts is None:
-                unusual = sum(s[i] not in _LETTERS for i in at)
+                unusual = sum(s[i] not in _LETTERS and s[i] not in "ºª°№®™½¼•€–—’‘“”´`·²³" for i in at)
                 if unusual and (best is None or (unusual, -k * 10 - m) > best[:2]):
                     best = (unusual, -k * 10 - m, text)
                 continue

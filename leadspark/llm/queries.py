@@ -5,11 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import categories, encoding, survivors
-from .common import table, usable_domain, usable_phone
+from . import addresses, categories, encoding, survivors
+from .common import cut, table, usable_domain, usable_phone
 from .components import components, key_edges
 
 
+# --- 1: addresses of one place
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of ungrouped leads at one place whose addresses are written differently."""
+    return addresses.same_place(table(spark, sf, "cleaned_enriched"))
+
+
+def p1_rewrites(spark: SparkSession, sf: str) -> DataFrame:
+    """The abbreviations and spellings mined from the leads' addresses."""
+    leads = table(spark, sf, "cleaned_enriched").select("source_row_id", "address", "city", usable_phone("phone_e164").alias("phone"), usable_domain("website_domain").alias("domain"))
+    rows = cut(addresses.parsed(leads, "source_row_id", "address", "city", "phone", "domain"))
+    known, _ = addresses.mine(addresses._towns(rows))
+    return spark.createDataFrame(sorted(known), "place string, written string, meant string")
+
+
 # --- 3: damaged text
 
 
