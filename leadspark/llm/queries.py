@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import addresses, categories, encoding, survivors
+from . import addresses, categories, encoding, names, survivors
 from .common import cut, table, usable_domain, usable_phone
 from .components import components, key_edges
 
@@ -26,6 +26,14 @@ def p1_rewrites(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(sorted(known), "place string, written string, meant string")
 
 
+# --- 2: variant names
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of ungrouped leads that name one organisation, or one person of it, differently."""
+    return names.variants(table(spark, sf, "cleaned_enriched"), table(spark, sf, "shared_domains"))
+
+
 # --- 3: damaged text
 
 
