@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import addresses
-from .common import cut, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
+from .common import cut, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
 from .encoding import repaired
 from .metric import CELL, cells, within
 
@@ -24,20 +24,21 @@ RADIUS = 2
 # Legal forms at the end of a firm's name, folded, without dots and blanks.
 LEGAL = frozenset("gmbh gmbhcokg gmbhundcokg gmbhucokg gmbhetcokg cokg kg ohg ug ek ekfr ag gbr ev sarl eurl sas sasu sa snc srl srls spa sl slu sll sau lda ltda unipessoal unipessoallda bv vof nv cv spzoo spzook sc spj spk sa ltd llc inc plc co gmbhco".split())
 # Ornaments that say nothing.
-_ORNAMENT = re.compile(r"№\s?\d+|no\.? ?1\b|€\s?\d+|½\s?preis|wer\?\s*wir!|[™®©•\"„“”*#>]|'{2}")
+_ORNAMENT = re.compile(r"(?i)[-–—]\s*(?:seit|since|depuis|desde|dal|sinds|od)\s+\d{4}|№\s?\d+|no\.? ?1\b|€\s?\d+|½\s?preis|wer\?\s*wir!|[™®©•\"„“”*#>]|'{2}")
 _SMALL = frozenset("and und et y e i u in fam familie famille family der die das the".split())
 # Titles, salutations and roles before or after a person's name, folded, without dots.
 TITLES = frozenset("dr prof mag ing dipl kfm med herr frau mr mrs ms mme mlle m dhr mevr drs sr sra srta d dna don dona dott dottssa dra eng sig sigra sgra avv pan pani mgr inz inh owner ceo inhaber inhaberin titolare gerant gerante wlasciciel geschaftsfuhrer director managing co".split()) - {"m", "d", "co"}
 # Pet names that are neither the beginning nor the end of the name, folded.
 PET_NAMES = {
-    "resi": "theresa", "lutz": "ludwig", "uschi": "ursula", "gretel": "margarete", "greta": "margarete", "lexi": "alexander", "tilly": "ottilie", "tilli": "ottilie", "fritz": "friedrich", "gunni": "gunther",
+    "resi": "theresa", "lutz": "ludwig", "uschi": "ursula", "gretel": "margarete", "greta": "margarete", "lexi": "alexander", "tilly": "ottilie", "willi": "wilhelm", "willy": "wilhelm", "basti": "sebastian", "hanni": "johanna", "dorti": "dorte", "zia": "lucrezia", "nora": "eleonora", "bert": "lambertus", "varo": "alvaro", "enzo": "vincenzo", "sandro": "alessandro", "hannes": "johannes", "quel": "raquel", "lupe": "guadalupe", "quim": "joaquim", "tilli": "ottilie", "fritz": "friedrich", "gunni": "gunther",
     "paco": "francisco", "pancho": "francisco", "chico": "francisco", "ginette": "genevieve", "sao": "conceicao", "nel": "petronella", "toto": "salvatore", "lola": "dolores", "beppe": "giuseppe", "peppe": "giuseppe", "pino": "giuseppe",
     "quique": "enrique", "mimmo": "domenico", "charo": "rosario", "toninho": "antonio", "tonio": "antonio", "bia": "beatriz", "daan": "daniel", "mien": "wilhelmina", "mina": "wilhelmina", "nacho": "ignacio", "dudu": "eduardo",
     "edu": "eduardo", "nono": "leonor", "checca": "francesca", "kees": "cornelis", "lello": "raffaele", "hanneke": "johanna", "toon": "antonius", "zosia": "zofia", "gerrit": "gerardus", "olek": "aleksander", "kasia": "katarzyna",
     "betje": "elisabeth", "babette": "elisabeth", "lisbeth": "elisabeth", "gosia": "malgorzata", "basia": "barbara", "staszek": "stanislaw", "wojtek": "wojciech", "jozek": "jozef", "ela": "elzbieta", "pepe": "jose", "bill": "william",
     "bob": "robert", "dick": "richard", "peggy": "margaret", "ted": "edward", "jack": "john", "tom": "thomas", "hans": "johannes", "heinz": "heinrich", "sepp": "josef", "beppi": "josef", "gigi": "luigi", "kuba": "jakub", "jasiek": "jan",
 }
-_TOKEN = re.compile(r"[^\W_]+(?:[?�'][^\W_]*)*\.?")
+_TOKEN = re.compile(r"[^\W_]{3,}-[^\W_]{1,6}\.|[^\W_]+(?:[?�'][^\W_]*)*\.?")
+_RUN_TOGETHER = re.compile(r"(?<=[a-zß-öø-ÿ])(?=[A-ZÀ-ÖØ-Þ])")
 
 
 @lru_cache(100_000)
@@ -45,7 +46,7 @@ def organisation(name: str, city: str | None) -> str:
     """The words of a firm's name, folded, without legal form, ornaments and town; an abbreviation keeps its dot. Empty if missing."""
     if is_missing(name):
         return ""
-    s = _ORNAMENT.sub(" ", fold(repaired(name)))
+    s = fold(_RUN_TOGETHER.sub(" ", _ORNAMENT.sub(" ", repaired(name))))
     words = [w for w in _TOKEN.findall(s.replace("'", ""))]
     plain = [w.rstrip(".") for w in words]
     home = [] if is_missing(city) else _TOKEN.findall(fold(repaired(city)))
@@ -79,7 +80,7 @@ def person(name: str) -> str:
 
 
 def _most(n: int) -> int:
-    return 0 if n < 3 else 1 if n < 6 else 2 if n < 12 else 3
+    return 0 if n < 3 else 1 if n < 5 else 2 if n < 8 else 3
 
 
 @lru_cache(200_000)
@@ -90,6 +91,13 @@ def _alike(a: str, b: str) -> float:
     x, y = a.rstrip("."), b.rstrip(".")
     if x == y:
         return 1.0
+    if "-" in x or "-" in y:  # kosmetik-st. for kosmetikstudio
+        s, t = (x, y) if "-" in x else (y, x)
+        if "-" not in t:
+            p, q = s.split("-", 1)
+            if typing_distance(p, t[: len(p)], 1) <= 1 and len(t) >= len(p) + len(q) - 1:
+                return 0.85
+            return 0.0
     n = min(len(x), len(y))
     lost = x.count("?") + x.count("�") + y.count("?") + y.count("�")
     most = _most(n) + lost
@@ -99,9 +107,9 @@ def _alike(a: str, b: str) -> float:
         if dotted and len(s) < len(t):
             if t.startswith(s):
                 return 0.9 if len(s) > 1 else 0.6
-            if len(s) > 3 and min(typing_distance(s, t[: len(s) + k], 1) for k in (-1, 0, 1)) <= 1:
+            if len(s) > 2 and min(typing_distance(s, t[: len(s) + k], 1) for k in (-1, 0, 1)) <= 1:
                 return 0.8
-            if len(s) <= 3 and s[0] == t[0] and _subsequence(s, t):
+            if len(s) <= 3 and s[0] == t[0] and _subsequence(s, t) or len(s) > 3 and s[:3] == t[:3]:
                 return 0.6
     return 0.0
 
@@ -119,8 +127,10 @@ def same_organisation(a: str, b: str) -> bool:
     p, q = a.split(), b.split()
     ja, jb = a.replace(" ", "").replace(".", ""), b.replace(" ", "").replace(".", "")
     n = min(len(ja), len(jb))
-    if n >= 6 and abs(len(ja) - len(jb)) <= 3 and typing_distance(ja, jb, 3 if n >= 12 else 2) <= (3 if n >= 12 else 2):
-        return True
+    most = n * 2 // 9 if n >= 6 else 0
+    for x, y in ((ja, jb), ("".join(sorted(p)).replace(".", ""), "".join(sorted(q)).replace(".", ""))):
+        if most and abs(len(x) - len(y)) <= most and typing_distance(x, y, most) <= most:
+            return True
     if len(p) > len(q):
         p, q, ja, jb = q, p, jb, ja
     left, strong, lone = list(q), 0, []
@@ -131,18 +141,21 @@ def same_organisation(a: str, b: str) -> bool:
                 best, at = s, k
         if at >= 0:
             r = left.pop(at)
-            strong += best >= 0.75 and min(len(w), len(r.rstrip("."))) >= 4 and not w.endswith(".")
+            if best >= 0.7 and not w.endswith("."):
+                strong += min(len(w), len(r.rstrip(".")))
         else:
             lone.append(w)
     weighty = [w for w in lone if len(w.rstrip(".")) > 2]
     rest = [w for w in left if len(w.rstrip(".")) > 2]
     if not weighty:
-        return strong > 0
+        return strong >= 4
     # words run together or split: the words without a counterpart spell the same
     x, y = "".join(lone).replace(".", ""), "".join(left).replace(".", "")
     n = max(len(x), len(y))
     if n >= 5 and abs(len(x) - len(y)) <= 3 and typing_distance(x, y, 3) <= (3 if n >= 10 else 1):
         return True
+    if strong >= 4 and n >= 4 and len(lone) == len(rest) == 1 and x[0] == y[0] and typing_distance(x, y, 4) <= (3 if n < 8 else n // 3):
+        return True  # one mistyped word beside words that agree
     for s, t in ((p, jb), (q, ja)):  # one name inside the other
         s = "".join(s).replace(".", "")
         if len(s) >= 8 and s in t:
@@ -150,6 +163,15 @@ def same_organisation(a: str, b: str) -> bool:
     return not rest and not weighty
 
 
+@lru_cache(200_000)
+def _in_full(a: str, b: str) -> bool:
+    """Whether two or more full words of two persons' names agree, so that the firm's name need not."""
+    p, q = ([w for w in n.split() if len(w) > 3] for n in (a, b))
+    if len(p) > len(q):
+        p, q = q, p
+    return len(p) > 1 and all(any(typing_distance(x, y, 1) <= 1 for y in q) for x in p)
+
+
 @lru_cache(100_000)
 def _given(a: str, b: str) -> bool:
     """Whether two given names may be one person's: equal, mistyped, an initial, a pet name, the beginning or the end."""
@@ -164,7 +186,7 @@ def _given(a: str, b: str) -> bool:
         return True
     if n > 2 and (a.startswith(b[:-1] if n > 3 else b) or b.startswith(a[:-1] if n > 3 else a) if abs(len(a) - len(b)) > 1 else False):
         return True
-    if n > 2 and (a.endswith(b) or b.endswith(a)):
+    if n > 2 and (a.endswith(b) or b.endswith(a)) or n == 2 and (a.startswith(b) or b.startswith(a)):
         return True
     for x, y in ((a, b), (b, a)):
         for pet, full in PET_NAMES.items():
@@ -213,22 +235,18 @@ def _keys(text: str) -> list[str]:
     return list(dict.fromkeys([w for w in words if len(w) >= 4] + ["".join(words)]))
 
 
-def _comparable(a: str, b: str) -> bool:
-    """Within a small block: whether two names share a word within the radius, or an abbreviation may stand for one."""
-    return any(edit_distance(x, y, RADIUS) <= RADIUS for x in _keys(a) for y in _keys(b)) or "." in a or "." in b
-
-
 def _pairs(items: list[tuple[str, str]], person_field: bool) -> list[tuple[int, int]]:
-    """The pairs of items (name, firm) that name the same, by place in the list; an item pairs with itself too."""
+    """The pairs of items (name, firm) that name the same, by place in the list; an item pairs with itself too. A small block is a
+    single metric cell: every two names in it are compared."""
     out = []
     for i, (a, f) in enumerate(items):
         out.append((i, i))
         for j in range(i):
             b, g = items[j]
             if person_field:
-                if same_person(a, b) and (not f or not g or same_organisation(f, g)):
+                if same_person(a, b) and (not f or not g or same_organisation(f, g) or _in_full(a, b)):
                     out.append((j, i))
-            elif _comparable(a, b) and same_organisation(a, b):
+            elif same_organisation(a, b):
                 out.append((j, i))
     return out
 
@@ -332,7 +350,7 @@ def _large(items: DataFrame, is_person: bool, schema: str) -> DataFrame:
     full = candidates.join(i, ["block", "n1"]).join(j, ["block", "n2"]).where("n1 < n2 or f1 <= f2")
 
     def check(b):
-        yes = [k for k, (n, f, m, g) in enumerate(zip(b["n1"], b["f1"], b["n2"], b["f2"])) if (n == m and f == g) or (same_person(n, m) and (not f or not g or same_organisation(f, g)) if is_person else same_organisation(n, m))]
+        yes = [k for k, (n, f, m, g) in enumerate(zip(b["n1"], b["f1"], b["n2"], b["f2"])) if (n == m and f == g) or (same_person(n, m) and (not f or not g or same_organisation(f, g) or _in_full(n, m)) if is_person else same_organisation(n, m))]
         return {c: [b[c][k] for k in yes] for c in ("block", "n1", "f1", "n2", "f2")}
 
     return map_batches(full.select("block", "n1", "f1", "n2", "f2"), check, schema)

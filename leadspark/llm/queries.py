@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import addresses, categories, encoding, names, survivors
+from . import addresses, categories, encoding, linkage, names, survivors
 from .common import cut, table, usable_domain, usable_phone
 from .components import components, key_edges
 
@@ -86,6 +86,23 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return got.select(F.col("id").alias("source_row_id"), "group_id")
 
 
+# --- 6: leads and provider records
+
+
+def _linked(spark: SparkSession, sf: str) -> DataFrame:
+    return linkage.matches(table(spark, sf, "cleaned_enriched"), table(spark, sf, "provider_orgs"), table(spark, sf, "shared_domains"))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Ungrouped leads and provider records that are one business."""
+    return _linked(spark, sf).select("source_row_id", "org_id")
+
+
+def p6_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    """The matches with their confidence, a calibrated probability."""
+    return _linked(spark, sf)
+
+
 # --- 7: survivors
 
 
