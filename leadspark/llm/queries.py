@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import addresses, categories, encoding, linkage, names, survivors
+from . import abuse, addresses, categories, encoding, leakage, linkage, names, survivors
 from .common import cut, table, usable_domain, usable_phone
 from .components import components, key_edges
 
@@ -127,4 +127,36 @@ def p7_sources(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(s, *map(float, q)) for s, q in sorted(quality.items())], "source_file string, sensitivity double, specificity double")
 
 
+# --- 8: leaked evaluation items
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents that give evaluation items away."""
+    return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items")).select("doc_id", "item_id")
+
+
+def p8_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Every item: in how many documents it leaked, and the most that one of them holds."""
+    got = leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items")).groupBy("item_id").agg(F.count("*").alias("documents"), F.round(F.max("passage_share"), 4).alias("passage_share"), F.round(F.max("question_share"), 4).alias("question_share"))
+    return table(spark, sf, "eval_items").select("item_id", "suite").join(got, "item_id", "left").fillna(0, ["documents"]).fillna(0.0, ["passage_share", "question_share"])
+
+
+# --- 10: abusive texts
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents that insult, threaten, degrade or are sexually explicit."""
+    return abuse.abusive(table(spark, sf, "documents")).select("doc_id")
+
+
+def p10_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The score of every document, with its worst clause."""
+    return abuse.scored(table(spark, sf, "documents"))
+
+
+def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """The rate of bad documents per source."""
+    return abuse.rates(table(spark, sf, "documents"))
+
+
 QUERIES = {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit() and callable(v)}
