@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import abuse, addresses, categories, encoding, leakage, linkage, names, survivors
+from . import abuse, addresses, categories, encoding, leakage, linkage, mixing, names, survivors
 from .common import cut, table, usable_domain, usable_phone
 from .components import components, key_edges
 
@@ -141,6 +141,19 @@ def p8_items(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "eval_items").select("item_id", "suite").join(got, "item_id", "left").fillna(0, ["documents"]).fillna(0.0, ["passage_share", "question_share"])
 
 
+# --- 9: sources mixed to shares
+
+
+def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """The texts of the mixture, with how often each is used."""
+    return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """The share that each source was to have, and has."""
+    return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[1]
+
+
 # --- 10: abusive texts
 
 
