@@ -23,7 +23,7 @@ def address_parts(c: Column | str) -> Column:
     """struct(street, postcode, city, country) by commas: the first part; the one before the last of three or more, else the last of two;
     the last of three or more. Nulls for a null or empty address, '' for parts that are not there."""
     a = F.when(col(c) != "", col(c))
-    parts = F.transform(F.split(a, ","), F.trim)
+    parts = F.transform(F.split(a, ","), lambda x: F.trim(x))
     n = F.size(parts)
     return F.struct(
         F.element_at(parts, 1).alias("street"),

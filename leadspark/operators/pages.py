@@ -36,7 +36,8 @@ def social_links(html: Column | str, url: Column | str | None = None) -> Column:
     if url is not None:
         root = F.regexp_extract(col(url), r"^([a-zA-Z]+://[^/]+)", 1)
         links = F.transform(links, lambda h: F.when(h.startswith("//"), F.concat(F.lit("https:"), h)).when(h.startswith("/"), F.concat(root, h)).otherwise(h))
-    return F.struct(*[F.get(F.filter(links, lambda h, p=p: h.rlike(f"(?i){p}")), F.lit(0)).alias(k) for k, p in PLATFORMS.items()])
+    first = lambda p: F.get(F.filter(links, lambda h: h.rlike(f"(?i){p}")), F.lit(0))
+    return F.struct(*[first(p).alias(k) for k, p in PLATFORMS.items()])
 
 
 def title(html: Column | str) -> Column:

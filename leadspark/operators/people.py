@@ -124,7 +124,7 @@ def legal_pages(domains: DataFrame, pages: DataFrame) -> DataFrame:
 
 def people(text: Column | str) -> Column:
     """array<struct(name, title)> of the lines of 6 to 199 characters that hold a name and a title beside it, in their order."""
-    lines = F.filter(F.transform(F.split(col(text), "\n"), F.trim), lambda x: F.length(x).between(6, 199))
+    lines = F.filter(F.transform(F.split(col(text), "\n"), lambda x: F.trim(x)), lambda x: F.length(x).between(6, 199))
     title = rf"(?iu:{_MORE_TITLES})"
     after = rf"({NAME})\s*[,\-–—|:(]\s*((?:\S+\s+){{0,2}}{title})"
     before = rf"({title})\s*[:\-–—|]\s*({NAME})"
