@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import re
+import tempfile
 import unicodedata
+import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -172,18 +174,36 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if at:
+        return at
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"file://{tempfile.gettempdir()}/leadspark-checkpoints"  # one machine: tests
+
+
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the folder of spark.checkpoint.dir, which all executors share, and cut its lineage."""
+    """Write df as a table in the folder of spark.checkpoint.dir, which all executors share, and read it back: its lineage is cut, and
+    later steps read only the columns they need. The tables are removed when Python ends."""
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if not at:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            at = os.path.join(os.environ.get("TMPDIR", "/tmp"), "leadspark-checkpoints")
-        sc.setCheckpointDir(at)
-    return df.checkpoint(eager=True)
+    path = f"{_shared_folder(spark).rstrip('/')}/leadspark/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _remove() -> None:
+    for spark, path in _WRITTEN:
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - the session may be gone
+            return
 
 
 def broadcastable(df: DataFrame, most_rows: int) -> bool:
