@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, fold, is_missing, map_batches, map_partitions, typing_distance, usable_domain, usable_phone
+from .common import cut, edit_distance, fold, is_missing, map_batches, map_partitions, typing_distance, usable_domain, usable_phone
 from .encoding import repaired
 
 # Names and codes of the countries, folded.
@@ -37,6 +37,8 @@ def _unit(u: str) -> str:
 
 
 _UNITS = re.compile(r"(?<![\w/])(?:" + "|".join(_unit(u) for u in UNITS) + r")\.?(?![\w/])")
+# the word by which each unit is known, as one pattern that shares beginnings
+_UNIT_WORDS = re.compile(r"(?<![^\W\d_])(?:" + "|".join(f"{c}(?:{'|'.join(sorted({re.escape(w[1:]) for w in ws}))})" for c, ws in sorted({c: {w for u in UNITS for w in [next(x for x in u.split() if x not in "#@*")] if w[0] == c} for c in {next(x for x in u.split() if x not in "#@*")[0] for u in UNITS}}.items())) + r")(?![^\W_])")
 _COUNTRY = re.compile(r"[\s,;|/-]+(?:(" + "|".join(COUNTRIES) + r"|espa[?�]a)|(?:" + _CODES + r"))[\s.,;|/-]*$")
 _PREFIX = re.compile(r"(?<!\w)(?:d|f|e|i|p|a|ch|" + _CODES + r")-(?=\d{4,5}(?!\d))")
 _BROKEN_RANGE = re.compile(r"(?<=\d)\s?(?:[�?]+|[\x80-\x9f]+|a[\x80-\x9f]+)\s?(?=\d)")
@@ -72,19 +74,35 @@ def _town_like(word: str, town: str) -> bool:
     return word == town or len(town) > 4 and typing_distance(word, town, 2 if len(town) > 6 else 1) <= (2 if len(town) > 6 else 1)
 
 
+_BLANKS = re.compile(r"  +")
+_PLAIN = re.compile(r"([^\W\d_][^\d,;|/\n:?�()–-]{3,40}?)(?<! nr)(?<! nr\.)(?<! no)(?<! no\.),? (\d{1,3}) ?([a-h])?, (\d{5}|\d{4} ?[a-z]{2}|\d{4}-\d{3}|\d{2}-0\d{2}) ([a-z]+)(?:, (?:" + "|".join(COUNTRIES) + "|" + _CODES + r"))?$")
+
+
+@lru_cache(50_000)
+def _home(city: str | None) -> tuple[str, int]:
+    """The town's column, folded and in one word, and of how many words."""
+    words = [] if is_missing(city) else _WORD.findall(fold(repaired(city)))
+    return "".join(words), max(1, len(words))
+
+
 def parse(address: str | None, city: str | None) -> tuple[str, str, str, str] | None:
     """(street, number, town, postcode), folded; parts that are not there are empty. None for a missing address.
 
     street is written in one word, so that compounds agree however they are split. The town is the address's own, else the column's."""
     if is_missing(address):
         return None
-    t = fold(repaired(address)).translate(_DASHES)
-    home = "" if is_missing(city) else "".join(_WORD.findall(fold(repaired(city))))
-    home_words = 1 if not home else max(1, len(_WORD.findall(fold(repaired(city)))))
+    t = fold.__wrapped__(repaired.__wrapped__(address))
+    home, home_words = _home(city)
+    # the plainest form, most often met: street and number, postcode and town
+    if home and (m := _PLAIN.match(t)) and m[5] == home:
+        number = m[2].lstrip("0") + (m[3] or "")
+        return "".join(_WORD.findall(m[1])), number, home, m[4].replace(" ", "").replace("-", "")
+    t = _BLANKS.sub(" ", t.translate(_DASHES))
     for _ in range(2):
         t = _COUNTRY.sub("", t)
     t = _BROKEN_RANGE.sub("-", _PREFIX.sub("", t))
-    t = _UNITS.sub(",", t)
+    if _UNIT_WORDS.search(t):
+        t = _UNITS.sub(",", t)
     code, town = "", ""
     if got := _postcode(t):
         code, (i, j) = got
@@ -215,9 +233,12 @@ class Rewrites:
         self.end: dict[str, list[str]] = defaultdict(list)
         for where, x, y in sorted(found):
             (self.start if where == "start" else self.end)[x].append(y)
+        self.known: dict[str, list[str]] = {}
 
     def of(self, s: str) -> list[str]:
         """s and all that one rewrite at its start and one at its end make of it."""
+        if s in self.known:
+            return self.known[s]
         first = [s]
         for n in range(min(10, len(s) - 3)):
             first += [y + s[n:] for y in self.start.get(s[:n], ())]
@@ -226,7 +247,10 @@ class Rewrites:
             out.append(f)
             for n in range(1, min(10, len(f) - 3)):
                 out += [f[:-n] + y for y in self.end.get(f[-n:], ())]
-        return list(dict.fromkeys(out))
+        if len(self.known) > 100_000:
+            self.known.clear()
+        out = self.known[s] = list(dict.fromkeys(out))
+        return out
 
 
 #: A rewrite must occur in so many different streets, in such a share of all streets that begin or end so, and pass this level of the
@@ -259,10 +283,11 @@ def mine(rows: DataFrame) -> tuple[set[tuple[str, str, str]], int]:
     rewrites seen in three streets or more; their number is bounded by the pieces of at most 10 letters that streets begin or end with."""
     keyed = None
     for k in ("phone", "domain"):
-        part = rows.where(f"{k} is not null and num <> '' and street <> ''").select("town", "num", F.concat(F.lit(k[0]), F.col(k)).alias("key"), "street")
+        # 64 bits stand for town, number and key: two groups that met by chance would be mere noise in the counts
+        part = rows.where(f"{k} is not null and num <> '' and street <> ''").select(F.xxhash64("town", "num", F.lit(k), k).alias("key"), "street")
         keyed = part if keyed is None else keyed.union(part)
-    seen = keyed.groupBy("town", "num", "key", "street").agg(F.count("*").alias("n"))
-    w = W.partitionBy("town", "num", "key")
+    seen = keyed.groupBy("key", "street").agg(F.count("*").alias("n"))
+    w = W.partitionBy("key")
     top = seen.withColumn("top", F.max_by("street", F.struct("n", F.length("street"), "street")).over(w))
     pairs = cut(top.groupBy("street", "top").agg(F.count("*").alias("n")))
     known: set[tuple[str, str, str]] = set()
@@ -277,7 +302,7 @@ def mine(rows: DataFrame) -> tuple[set[tuple[str, str, str]], int]:
                 if s == t or t in (options := r.of(s)) or s in r.of(t):
                     continue
                 # what is left after the rewrites known so far
-                o = min(options[:12], key=lambda o: (typing_distance(o, t, 8), o != s, o)) if now else s
+                o = min(options[:12], key=lambda o: (edit_distance(o, t, 8), o != s, o)) if now else s
                 for d in _differences(o, t):
                     for k, v in zip(("top", "where", "x", "y"), (t, *d)):
                         out[k].append(v)
@@ -310,6 +335,9 @@ def _limit(n: int) -> int:
     return 1 if n < 8 else 2 if n < 16 else 3
 
 
+letters = lru_cache(200_000)(frozenset)
+
+
 def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str, str]:
     """The streets of one town that have one house number: each to the spelling it stands for. streets: (street, rows here, rows in all).
 
@@ -320,10 +348,11 @@ def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str
     index: dict[str, str] = {}
     near: dict[str, set[tuple[str, str]]] = defaultdict(set)
     total = {s: g for s, _, g in order}
+    rare = max(0.1 * order[0][2], 2)
     for s, _, g in order:
         options = rewrites.of(s)
         hit = next((index[o] for o in options if o in index), None)
-        if hit is None:
+        if hit is None and (g <= rare or "?" in s or "�" in s):
             best: tuple[int, int, str] | None = None
             for o in options:
                 if len(o) < len(s):
@@ -336,6 +365,9 @@ def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str
                     most = _limit(min(len(o), len(spelling))) + lost
                     if best:
                         most = min(most, best[0])
+                    # every mistake changes at most two members of the set of letters
+                    if len(letters(o) ^ letters(spelling)) > 2 * most:
+                        continue
                     d = typing_distance(o, spelling, most)
                     if d <= most and (best is None or (d, -gc, c) < best):
                         best = (d, -gc, c)
@@ -362,7 +394,7 @@ def places(df: DataFrame, id: str, address: str, city: str | None, phone: str |
     missing addresses give no row; repeated rows give a row each; extra columns of df are ignored; texts of any length are read whole."""
     df = df.select(F.col(id).alias("id"), F.col(address).alias("address"), (F.col(city) if city else F.lit(None).cast("string")).alias("city"), (F.col(phone) if phone else F.lit(None).cast("string")).alias("phone"), (F.col(domain) if domain else F.lit(None).cast("string")).alias("domain"), F.xxhash64(F.col(address)).alias("raw_hash"), *keep)
     rows = cut(parsed(df, "id", "address", "city", "phone", "domain", "raw_hash", *keep))
-    rows = _towns(rows)
+    rows = cut(_towns(rows))
     known, _ = mine(rows)
     shared = df.sparkSession.sparkContext.broadcast(frozenset(known))
     # rows delivered again are no further evidence of a spelling
