@@ -12,11 +12,14 @@ import re
 from collections import defaultdict
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut, edit_distance, fold, is_missing, map_batches, map_partitions, typing_distance, usable_domain, usable_phone
+from .common import cut, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
 from .encoding import repaired
 
 # Names and codes of the countries, folded.
@@ -172,20 +175,23 @@ def parse(address: str | None, city: str | None) -> tuple[str, str, str, str] |
     return street, number, town or home, code
 
 
-_PARSED = "id long, raw string, city string, street string, num string, town string, code string"
-
-
 def parsed(df: DataFrame, id: str, address: str, city: str | None, *keep: str) -> DataFrame:
-    """The rows of df with a non-missing address: id, street, num, town, code, the columns of keep."""
-    cols = [F.col(id).cast("long").alias("id"), F.col(address).alias("raw"), (F.col(city) if city else F.lit(None).cast("string")).alias("city"), *[F.col(k).cast("string").alias(k) for k in keep]]
+    """The rows of df with a non-missing address: id, the columns of keep, and street, num, town, code. What is kept passes through Python
+    as it is, in its Arrow form."""
+    cols = [F.col(id).cast("long").alias("id"), *keep, F.col(address).alias("raw"), (F.col(city) if city else F.lit(None).cast("string")).alias("city")]
+    todo = df.select(*cols).where(~missing("raw"))
+    n = 1 + len(keep)
+    names = ("street", "num", "town", "code")
+    schema = T.StructType([*todo.schema.fields[:n], *[T.StructField(k, T.StringType()) for k in names]])
+    arrow = to_arrow_schema(schema)
 
-    def run(b):
-        got = [parse(a, c) for a, c in zip(b["raw"], b["city"])]
-        yes = [k for k, g in enumerate(got) if g is not None]
-        out = {n: [b[n][k] for k in yes] for n in ("id", *keep)}
-        return out | {n: [got[k][x] for k in yes] for x, n in enumerate(("street", "num", "town", "code"))}
+    def run(batches):
+        for b in batches:
+            got = [parse(a, c) or ("", "", "", "") for a, c in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist())]
+            parts = [pa.array(x, pa.string()) for x in zip(*got)] or [pa.array([], pa.string())] * 4
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(b.columns[:n], arrow)] + parts, schema=arrow)
 
-    return map_batches(df.select(*cols).where("raw is not null and raw <> ''"), run, "id long, " + "".join(f"{k} string, " for k in keep) + "street string, num string, town string, code string")
+    return todo.mapInArrow(run, schema)
 
 
 def _towns(rows: DataFrame) -> DataFrame:
@@ -387,12 +393,17 @@ def _pieces(s: str) -> set[str]:
     return {"^" + s[:4], "$" + s[-6:], "-" + s[-9:-5]} if len(s) >= 9 else {"^" + s[:3], "$" + s[-3:]}
 
 
+def _hashed(c: str | None) -> Column:
+    """A key of the mining: 64 bits are enough for evidence."""
+    return F.when(F.col(c).isNotNull(), F.xxhash64(c)) if c else F.lit(None).cast("long")
+
+
 def places(df: DataFrame, id: str, address: str, city: str | None, phone: str | None = None, domain: str | None = None, *keep: str) -> DataFrame:
-    """(id, town, num, street, raw_hash, phone, domain, *keep) for each row with a non-missing address: where it is, in one spelling.
+    """(id, town, num, street, raw_hash, *keep) for each row with a non-missing address: where it is, in one spelling.
 
     Parts that an address lacks are empty; rows without number or street denote no place and have an empty one. Null, blank and
     missing addresses give no row; repeated rows give a row each; extra columns of df are ignored; texts of any length are read whole."""
-    df = df.select(F.col(id).alias("id"), F.col(address).alias("address"), (F.col(city) if city else F.lit(None).cast("string")).alias("city"), (F.col(phone) if phone else F.lit(None).cast("string")).alias("phone"), (F.col(domain) if domain else F.lit(None).cast("string")).alias("domain"), F.xxhash64(F.col(address)).alias("raw_hash"), *keep)
+    df = df.select(F.col(id).alias("id"), F.col(address).alias("address"), (F.col(city) if city else F.lit(None).cast("string")).alias("city"), _hashed(phone).alias("phone"), _hashed(domain).alias("domain"), F.xxhash64(F.col(address)).alias("raw_hash"), *keep)
     rows = cut(parsed(df, "id", "address", "city", "phone", "domain", "raw_hash", *keep))
     rows = cut(_towns(rows))
     known, _ = mine(rows)
@@ -423,7 +434,7 @@ def places(df: DataFrame, id: str, address: str, city: str | None, phone: str |
 
     usual = map_partitions(groups, run, "town string, num string, street string, usual string")
     got = rows.join(usual, ["town", "num", "street"], "left").withColumn("street", F.coalesce("usual", "street")).drop("usual")
-    return got.select("id", "town", "num", "street", F.col("raw_hash").cast("long").alias("raw_hash"), "phone", "domain", *keep)
+    return got.select("id", "town", "num", "street", "raw_hash", *keep)
 
 
 def same_place(df: DataFrame) -> DataFrame:
