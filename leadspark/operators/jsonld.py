@@ -180,7 +180,7 @@ def read_page(html: str | None) -> dict | None:
 @F.pandas_udf(JSONLD)
 def _read(html: pd.Series) -> pd.DataFrame:
     rows = [read_page(h) or {} for h in html]
-    return pd.DataFrame({k: [list(r[k].items()) if k == "social_links" and k in r else r.get(k) for r in rows] for k in _FIELDS})
+    return pd.DataFrame({k: [r.get(k) for r in rows] for k in _FIELDS})
 
 
 def jsonld(html: Column | str) -> Column:

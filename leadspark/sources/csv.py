@@ -26,12 +26,12 @@ def _head(spark: SparkSession, path: str, n: int) -> bytes:
         s.close()
 
 
-def detect_encoding(head: bytes) -> str:
-    """UTF-16 and UTF-8 by their marks, UTF-8 if the bytes are (but for a cut last character), else Latin-1."""
+def detect_encoding(head: bytes, cut_off: bool = False) -> str:
+    """UTF-16 and UTF-8 by their marks, UTF-8 if the bytes are (but for a last character, if they are cut off), else Latin-1."""
     for mark, name in ((b"\xff\xfe", "UTF-16"), (b"\xfe\xff", "UTF-16"), (b"\xef\xbb\xbf", "UTF-8")):
         if head.startswith(mark):
             return name
-    for cut in range(4):
+    for cut in range(4 if cut_off else 1):
         try:
             head[: len(head) - cut].decode("utf-8")
             return "UTF-8"
@@ -52,7 +52,7 @@ def read_csv(spark: SparkSession, path: str) -> tuple[DataFrame, str, str]:
     """(rows, encoding, delimiter): all columns as strings, missing-value tokens as null. Rows with too many fields are left out,
     rows with too few are filled with nulls."""
     head = _head(spark, path, 100_000)
-    encoding = detect_encoding(head)
+    encoding = detect_encoding(head, len(head) == 100_000)
     text = head.decode("utf-8-sig" if encoding == "UTF-8" else encoding, errors="replace")
     sep = detect_delimiter(text)
     names = next(csv.reader(text.splitlines(), delimiter=sep), [])
