@@ -56,7 +56,7 @@ PHRASES = {
     "I": ("piece of trash", "piece of shit", "piece of garbage", "son of a bitch", "sack of shit", "stuck scheiße", "stuck scheisse", "stuck dreck", "hijo de puta", "hija de puta", "hijos de puta", "pedazo de mierda", "tas de merde", "fils de pute", "figlio di puttana", "waste of space"),
     "Q": ("shut your mouth", "shut up", "drop dead", "go rot", "go to hell", "kill yourself", "crawl back", "halt dein maul", "halt die fresse", "halts maul", "fahr zur holle", "verpiss dich", "geh sterben", "ferme ta gueule", "ta gueule", "va crever", "va te faire", "vete a la mierda", "cierra la boca", "callate la boca", "piss off", "fuck off", "fuck you", "nobody will miss you", "get lost", "hang yourself"),
     "G": ("old people", "those people", "these people", "that skin", "of that sect", "travelling folk", "that kind of people", "people like that", "wie die", "solche leute", "diese leute", "gens du voyage", "ces gens", "cette race", "esa gente", "esos de"),
-    "X": ("driven out", "put them back", "ought to burn", "should burn", "should be shot", "do not deserve to live", "not deserve to live", "back in chains", "refuse to be served by", "gehoren raus", "raus aus", "gehoren aus", "durften hier gar nicht", "dehors de", "dehors", "fuera de", "go back to", "send them back", "nicht hierher", "wiped out", "are all filthy", "they hire", "subhuman", "break that", "loses the shop", "and starves"),
+    "X": ("belong in a cage", "belongs in a cage", "belong in cages", "belong in a zoo", "gehoren in einen kafig", "gehoren eingesperrt", "en cage", "en una jaula", "driven out", "put them back", "ought to burn", "should burn", "should be shot", "do not deserve to live", "not deserve to live", "back in chains", "refuse to be served by", "gehoren raus", "raus aus", "gehoren aus", "durften hier gar nicht", "dehors de", "dehors", "fuera de", "go back to", "send them back", "nicht hierher", "wiped out", "are all filthy", "they hire", "subhuman", "break that", "loses the shop", "and starves"),
     "S": ("sex chat", "porn clips", "jerk off", "sexual favours", "spreads her legs", "spread your legs", "in her mouth", "hot sex", "naked girls", "naked women", "nackte weiber", "nackte frauen", "femmes nues", "chicas desnudas", "waiting naked", "suck my", "lick your", "your tits", "his cock", "her pussy"),
     "H": ("naked cake", "nackter kuchen", "dirty chai", "chicken breast", "bloody mary", "roast pig", "adult education", "sexing of", "tits in the garden", "cock on the", "kill the heat", "beat the eggs", "whip the cream", "punch down", "guest book", "stupid mistake", "bitch of a", "cocktail list", "burned the first", "burned all but", "livre d'or"),
 }
@@ -88,11 +88,11 @@ REPORTED, HARMLESS, REVERSED = 0.15, 0.25, 0.5
 LEAST = 0.5
 
 _CLAUSE = re.compile(r"[^.!?;\n]+(?:\.(?=[a-z])[^.!?;\n]*)*[.!?;]*")
-_SPELT = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][.\-_*·]){2,}[^\W\d_](?![^\W\d_])")
+_SPELT = re.compile(r"(?<![^\W\d_])(?:(?:[^\W\d_][.\-_*·]){2,}|(?:[^\W\d_] ){3,})[^\W\d_](?![^\W\d_])")
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "+": "t", "€": "e", "|": "i"})
 _DISGUISED = re.compile(r"(?<![\w])(?=[\w@$!+€|*]*[^\W\d_])(?=[\w@$!+€|*]*[0-9@$!+€|*])[\w@$+€|*](?:[\w@$!+€|*]*[\w@$*])?")
 _LONG = re.compile(r"([^\W\d_])\1{2,}")
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?\*?|[^\W\d_]+(?:\*+[^\W\d_]*)+|\d+")
+_TOKEN = re.compile(r"[^\W\d_]+(?:\*+[^\W\d_]+)+|[^\W\d_]+(?:['’][^\W\d_]+)?\*?|\d+")
 
 
 def _compile() -> tuple[dict[str, str], list[tuple[str, str]], dict[tuple[str, ...], str]]:
@@ -139,14 +139,14 @@ def symbol(word: str) -> str:
 
 def _starred(word: str) -> str:
     """The symbol of a word whose letters are partly starred out."""
-    pattern = re.compile("".join("." if c == "*" else re.escape(c) for c in word) + "?e?[nrs]?$")
+    pattern = re.compile("".join("." if c == "*" else re.escape(c) for c in word) + "(?:e?[nrs])?$")
     found = {symbol(w) for w in _TARGETED if len(w) >= len(word) - 2 and pattern.match(w)}
     return next((s for s in "ISWP" if s in found), "")
 
 
 def plain_words(clause: str) -> str:
     """The clause with disguised words written out: letters spelt apart, figures and signs for letters, letters drawn out."""
-    clause = _SPELT.sub(lambda m: re.sub(r"[.\-_*·]", "", m[0]), clause)
+    clause = _SPELT.sub(lambda m: re.sub(r"[.\-_*· ]", "", m[0]), clause)
     return _DISGUISED.sub(lambda m: m[0] if m[0].replace(",", "").isdigit() or "*" in m[0] else m[0].translate(_LEET), clause)
 
 

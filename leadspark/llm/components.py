@@ -119,8 +119,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", edges_per_task: int
         parts = max(2, -(-2 * n // edges_per_task))
         nxt = cut(_merge(twice.repartition(parts, "a")).distinct())
         # done when nothing but stars is left: no centre is a leaf, no leaf has two centres
-        leaf = nxt.groupBy("b").agg(F.count("*").alias("n"))
-        bad = leaf.where("n > 1").limit(1).count() or nxt.join(leaf, nxt.a == leaf.b, "left_semi").limit(1).count()
+        leaf = nxt.groupBy(F.col("b").alias("leaf")).agg(F.count("*").alias("n"))
+        bad = leaf.where("n > 1").limit(1).count() or nxt.join(leaf, F.col("a") == F.col("leaf"), "left_semi").limit(1).count()
         forest, n = nxt, nxt.count()
         if not bad:
             break
