@@ -8,13 +8,14 @@ share a word within the radius are compared word by word (order, abbreviations,
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import addresses
-from .common import cut, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
+from .common import cut, discard, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
 from .encoding import repaired
 from .metric import CELL, cells, within
 
@@ -124,6 +125,7 @@ def same_organisation(a: str, b: str) -> bool:
     """Whether two firms' names, as organisation() gives them, may be one firm's: every word of one has a counterpart in the other."""
     if a == b:
         return True
+    a, b = sorted((a, b))  # the same answer either way
     p, q = a.split(), b.split()
     ja, jb = a.replace(" ", "").replace(".", ""), b.replace(" ", "").replace(".", "")
     n = min(len(ja), len(jb))
@@ -201,6 +203,7 @@ def same_person(a: str, b: str) -> bool:
     contradicts."""
     if a == b:
         return True
+    a, b = sorted((a, b))
     p, q = a.split(), b.split()
     if len(p) > len(q):
         p, q = q, p
@@ -281,6 +284,75 @@ def blocks(named: DataFrame) -> DataFrame:
     return at
 
 
+#: Blocks of more rows than this are not paired row by row in one task.
+BLOCK_ROWS = 1000
+_LINKS = "field_name string, source_row_id_a long, source_row_id_b long"
+
+
+def _apart(x: tuple, y: tuple, placed_block: bool) -> bool:
+    """Whether two rows of a block cannot be of one organisation: in the block of a phone or domain two places are two organisations, and
+    without a place the towns must not differ."""
+    if placed_block:
+        return False
+    (px, hx), (py, hy) = x, y
+    return px and py or bool(hx and hy and hx != hy and edit_distance(hx, hy, 2) > 2)
+
+
+def _row_pairs(block: str, rows: list[tuple]) -> list[tuple[str, int, int]]:
+    """The links of a block's rows (id, placed, org, who, org_hash, who_hash, home)."""
+    out, at = [], block[0] == "a"
+    for field, name, stored in (("business_name", 2, 4), ("decision_maker_name", 3, 5)):
+        person_field = name == 3
+        by_item: dict[tuple[str, str], list[tuple]] = defaultdict(list)
+        for r in rows:
+            if r[name]:
+                by_item[(r[name], r[2] if person_field else "")].append(r)
+        if len(by_item) < 2 and all(len({r[stored] for r in v}) < 2 for v in by_item.values()):
+            continue
+        items = list(by_item)
+        for i, j in _pairs(items, person_field):
+            xs, ys = by_item[items[i]], by_item[items[j]]
+            for x in xs:
+                for y in ys:
+                    if x[stored] != y[stored] and (i != j or x[0] < y[0]) and x[0] != y[0] and not _apart((x[1], x[6]), (y[1], y[6]), at):
+                        out.append((field, min(x[0], y[0]), max(x[0], y[0])))
+    return out
+
+
+def linked(at: DataFrame) -> DataFrame:
+    """(field_name, source_row_id_a, source_row_id_b): the pairs of rows of one block whose names agree and are not stored as one string.
+
+    Blocks of up to BLOCK_ROWS rows are paired as they stream by; larger ones by the joins of _linked, in metric cells where they hold
+    many names."""
+    sizes = at.groupBy("block").count()
+    hot = cut(sizes.where(F.col("count") > BLOCK_ROWS).select("block"))
+    some_hot = bool(hot.limit(1).count())
+    cool = at.join(sizes.where((F.col("count") > 1) & (F.col("count") <= BLOCK_ROWS)).select("block"), "block", "left_semi") if some_hot else at
+    columns = ("id", "placed", "org", "who", "org_hash", "who_hash", "home")
+    streamed = cool.select("block", *columns).repartition("block").sortWithinPartitions("block")
+
+    def run(batches):
+        block, rows = None, []
+        for b in batches:
+            out: list = []
+            for bl, *r in zip(b["block"], *[b[c] for c in columns]):
+                if bl != block:
+                    if len(rows) > 1:
+                        out += _row_pairs(block, rows)
+                    block, rows = bl, []
+                rows.append(tuple(r))
+            yield dict(zip(("field_name", "source_row_id_a", "source_row_id_b"), map(list, zip(*out)) if out else ([],) * 3))
+        out = _row_pairs(block, rows) if len(rows) > 1 else []
+        yield dict(zip(("field_name", "source_row_id_a", "source_row_id_b"), map(list, zip(*out)) if out else ([],) * 3))
+
+    got = map_partitions(streamed, run, _LINKS)
+    if some_hot:
+        large = cut(at.join(hot, "block", "left_semi"))
+        for field in ("business_name", "decision_maker_name"):
+            got = got.union(_linked(large, field).select(F.lit(field).alias("field_name"), "*"))
+    return got.distinct()
+
+
 def _linked(at: DataFrame, field: str) -> DataFrame:
     """Pairs of ids of one block whose names in the field agree and are not stored as one string."""
     name, stored, is_person = ("who", "who_hash", True) if field == "decision_maker_name" else ("org", "org_hash", False)
@@ -370,5 +442,7 @@ def variants(leads: DataFrame, shared: DataFrame) -> DataFrame:
     base = base.join(domains.withColumn("is_shared", F.lit(True)), "domain", "left").withColumn("domain", F.when(F.col("is_shared").isNull(), F.col("domain"))).drop("is_shared")
     base = base.where(~(missing("business_name") & missing("decision_maker_name"))).withColumn("id", F.col("source_row_id").cast("long")).drop("source_row_id", "address")
     full = base.join(at, "id", "left").fillna("", ["town", "num", "street"])
-    named = cut(blocks(cut(_named(full))))
-    return _linked(named, "business_name").select(F.lit("business_name").alias("field_name"), "*").union(_linked(named, "decision_maker_name").select(F.lit("decision_maker_name").alias("field_name"), "*"))
+    named = cut(_named(full))
+    at = cut(blocks(named))
+    discard(named)
+    return linked(at)
