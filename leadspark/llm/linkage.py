@@ -8,22 +8,19 @@ probability. Pairs at two different places are none, whatever they share: a busi
 
 from __future__ import annotations
 
-from zlib import crc32
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import addresses
 from .common import cut, fold, is_missing, map_batches, missing, usable_domain, usable_phone
-from .names import _alike, organisation, same_organisation
+from .names import _alike, allowed, organisation, same_organisation
 
 #: The labelled pairs that the model is fitted on: at most so many, chosen by hash. Everything else covers all pairs.
 TRAIN = 20_000
-#: MinHash: bands of rows; names of trigram similarity 0.5 share a band with probability 0.82, of 0.65 with 0.96.
-BANDS, ROWS = 6, 2
+#: MinHash: bands of rows; names of trigram similarity 0.5 share a band with probability 0.68, of 0.7 with 0.93.
+BANDS, ROWS = 4, 2
 FEATURES = ("name_same", "name_near", "name_differs", "place_same", "place_differs", "phone_same", "phone_differs", "host_same", "host_differs", "town_same")
-_SEEDS = np.random.default_rng(42).integers(1, 2**61, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
 
 
 def phone_key(c: Column) -> Column:
@@ -39,18 +36,20 @@ def host(c: Column) -> Column:
     return F.when(h.rlike(r"^[^.]+(\.[^.]+)+$"), h)
 
 
-def signature(text: str) -> list[int]:
-    """The MinHash bands of a name's trigrams."""
-    s = f"  {text.replace(' ', '').replace('.', '')} "
-    grams = {s[i : i + 3] for i in range(len(s) - 2)}
-    h = np.fromiter((crc32(g.encode()) for g in grams), np.uint64, len(grams))
-    low = (h[:, None] * _SEEDS[0] + _SEEDS[1]).min(axis=0)
-    return (low[0::ROWS] * np.uint64(31) + low[1::ROWS] + np.arange(BANDS, dtype=np.uint64)).astype(np.int64).tolist()
+def with_bands(df: DataFrame, name: Column, number: Column) -> DataFrame:
+    """df with the column bands: the MinHash bands of a name's trigrams at a house number, computed in the JVM; empty without one of
+    them. The trigrams are a column of their own, lest they be made again for every hash."""
+    d = df.withColumn("_t", F.concat(F.lit("  "), F.regexp_replace(F.lower(name), r"(?U)[^\p{L}]", ""), F.lit(" ")))
+    d = d.withColumn("_grams", F.transform(F.sequence(F.lit(1), F.greatest(F.length("_t") - 2, F.lit(1))), lambda i: F.xxhash64(F.substring("_t", i, F.lit(3)))))
+    hashed = lambda k: F.array_min(F.transform("_grams", lambda g: F.xxhash64(g, F.lit(k))))
+    least = [hashed(k) for k in range(BANDS * ROWS)]
+    made = F.array(*[F.xxhash64(F.lit(k), *least[ROWS * k : ROWS * (k + 1)], number) for k in range(BANDS)])
+    return d.withColumn("bands", F.when((F.length("_t") > 3) & (number != ""), made).otherwise(F.array().cast("array<long>"))).drop("_t", "_grams")
 
 
 def _features(names: tuple[str, str], place: tuple[str, str], phone: tuple, site: tuple, town: tuple[str, str]) -> list[float]:
     a, b = names
-    same = float(bool(a and b) and same_organisation(a, b))
+    same = float(bool(a and b) and same_organisation(a, b, allowed(phone, site)))
     near = 0.0
     if a and b and not same:
         p, q = sorted((a.split(), b.split()), key=len)
@@ -107,7 +106,7 @@ def train(pairs: DataFrame) -> tuple[np.ndarray, tuple[float, float]]:
 
 
 def records(leads: DataFrame, orgs: DataFrame, shared: DataFrame) -> DataFrame:
-    """Both tables in one form: id, is_org, name, town, place, phone, host, bands."""
+    """Both tables in one form: id, is_org, name, city, town, place, phone, host."""
     both = leads.select(
         F.col("source_row_id").cast("long").alias("id"), F.lit(False).alias("is_org"), F.col("business_name").alias("name"), "address", "city", phone_key(usable_phone("phone_e164")).alias("phone"), usable_domain("website_domain").alias("host")
     ).union(
@@ -117,17 +116,15 @@ def records(leads: DataFrame, orgs: DataFrame, shared: DataFrame) -> DataFrame:
     both = both.join(domains.withColumn("is_shared", F.lit(True)), "host", "left").withColumn("host", F.when(F.col("is_shared").isNull(), F.col("host"))).drop("is_shared")
     at = addresses.places(both, "id", "address", "city", "phone", "host").select("id", "town", "num", "street")
     full = both.drop("address").join(at, "id", "left").fillna("", ["town", "num", "street"])
+    full = full.withColumn("place", F.when((F.col("num") != "") & (F.col("street") != "") & (F.col("town") != ""), F.concat_ws("|", "town", "num", "street")).otherwise(""))
+    return full.select("id", "is_org", F.when(~missing("name"), F.col("name")).alias("name"), "city", "town", "place", "phone", "host")
 
-    def run(b):
-        town = [t or ("" if is_missing(c) else fold(c)) for t, c in zip(b["town"], b["city"])]
-        name = [organisation(n, c or t) if n is not None else "" for n, c, t in zip(b["name"], b["city"], town)]
-        return {
-            "id": b["id"], "is_org": b["is_org"], "name": name, "town": town, "phone": b["phone"], "host": b["host"],
-            "place": [f"{t}|{n}|{s}" if t and n and s else "" for t, n, s in zip(b["town"], b["num"], b["street"])],
-            "bands": [signature(n) if n and k and s else [] for n, k, s in zip(name, b["num"], b["street"])],
-        }
 
-    return map_batches(full.select("id", "is_org", "name", "city", "town", "num", "street", "phone", "host"), run, "id long, is_org boolean, name string, town string, phone string, host string, place string, bands array<long>")
+def keyed(df: DataFrame) -> DataFrame:
+    """(id, key) of every block that a record is in: place, phone, host, and the bands of its name at its house number."""
+    exact = F.array(F.when(F.col("place") != "", F.xxhash64(F.lit("a"), "place")), F.when(F.col("phone").isNotNull(), F.xxhash64(F.lit("p"), "phone")), F.when(F.col("host").isNotNull(), F.xxhash64(F.lit("h"), "host")))
+    d = with_bands(df, F.col("name"), F.split_part("place", F.lit("|"), F.lit(2)))
+    return d.select("id", F.explode(F.filter(F.concat(exact, F.coalesce("bands", F.array().cast("array<long>"))), lambda x: x.isNotNull())).alias("key"))
 
 
 def matches(leads: DataFrame, orgs: DataFrame, shared: DataFrame, least: float = 0.75) -> DataFrame:
@@ -136,17 +133,9 @@ def matches(leads: DataFrame, orgs: DataFrame, shared: DataFrame, least: float =
     Null, blank and missing attributes neither agree nor contradict; a record without any matches nothing; repeated rows match alike;
     an empty table gives no row. Blocks join only leads with provider records, never a table with itself."""
     all_ = cut(records(leads.where("duplicate_group_id is null"), orgs, shared))
-    keys = F.filter(
-        F.concat(
-            F.array(F.when(F.col("place") != "", F.xxhash64(F.lit("a"), "place")), F.when(F.col("phone").isNotNull(), F.xxhash64(F.lit("p"), "phone")), F.when(F.col("host").isNotNull(), F.xxhash64(F.lit("h"), "host"))),
-            F.transform("bands", lambda x: F.xxhash64(F.lit("b"), x, F.split_part("place", F.lit("|"), F.lit(2)))),
-        ),
-        lambda x: x.isNotNull(),
-    )
-    keyed = all_.select("id", "is_org", F.explode(keys).alias("key"))
-    org_keys = keyed.where("is_org").select(F.col("id").alias("org"), "key")
-    candidates = keyed.where("not is_org").select(F.col("id").alias("lead"), "key").join(org_keys, "key").select("lead", "org").distinct()
-    attributes = ("name", "place", "phone", "host", "town")
+    org_keys = keyed(all_.where("is_org")).withColumnRenamed("id", "org")
+    candidates = keyed(all_.where("not is_org")).withColumnRenamed("id", "lead").join(org_keys, "key").select("lead", "org").distinct()
+    attributes = ("name", "place", "phone", "host", "town", "city")
     a = all_.where("not is_org").select(F.col("id").alias("lead"), *[F.col(c).alias(f"a_{c}") for c in attributes])
     b = all_.where("is_org").select(F.col("id").alias("org"), *[F.col(c).alias(f"b_{c}") for c in attributes])
     joined = candidates.join(b, "org").join(a, "lead")
@@ -155,7 +144,10 @@ def matches(leads: DataFrame, orgs: DataFrame, shared: DataFrame, least: float =
     joined = joined.where(some)
 
     def run(b):
-        f = [_features((n, m), (p, q), (x, y), (u, v), (s, t)) for n, m, p, q, x, y, u, v, s, t in zip(*[b[f"{k}_{c}"] for c in attributes for k in "ab"])]
+        f = []
+        for n, m, p, q, x, y, u, v, s, t, c, d in zip(*[b[f"{k}_{c}"] for c in attributes for k in "ab"]):
+            s, t = s or ("" if is_missing(c) else fold(c)), t or ("" if is_missing(d) else fold(d))
+            f.append(_features((organisation(n, c or s) if n else "", organisation(m, d or t) if m else ""), (p, q), (x, y), (u, v), (s, t)))
         # places a typing mistake apart are neither one nor two
         for r, p, q in zip(f, b["a_place"], b["b_place"]):
             if r[4] and _close(p, q):
