@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
+from .common import cut, discard, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
 from .encoding import repaired
 
 # Names and codes of the countries, folded.
@@ -325,6 +325,7 @@ def mine(rows: DataFrame) -> tuple[set[tuple[str, str, str]], int]:
         occurs = {(o["where"], o.x): o["count"] for o in map_batches(pairs.select("street").distinct(), occurrences, "where string, x string").groupBy("where", "x").count().collect()} if ends else {}
         new = _significant([(c["where"], c.x, c.y, c.n) for c in counted], occurs) - known
         if not new:
+            discard(pairs)
             return _simplest(known), rounds
         known |= new
 
@@ -405,7 +406,8 @@ def places(df: DataFrame, id: str, address: str, city: str | None, phone: str |
     missing addresses give no row; repeated rows give a row each; extra columns of df are ignored; texts of any length are read whole."""
     df = df.select(F.col(id).alias("id"), F.col(address).alias("address"), (F.col(city) if city else F.lit(None).cast("string")).alias("city"), _hashed(phone).alias("phone"), _hashed(domain).alias("domain"), F.xxhash64(F.col(address)).alias("raw_hash"), *keep)
     rows = cut(parsed(df, "id", "address", "city", "phone", "domain", "raw_hash", *keep))
-    rows = cut(_towns(rows))
+    first, rows = rows, cut(_towns(rows))
+    discard(first)
     known, _ = mine(rows)
     shared = df.sparkSession.sparkContext.broadcast(frozenset(known))
     # rows delivered again are no further evidence of a spelling

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import unicodedata
@@ -191,9 +192,23 @@ def cut(df: DataFrame) -> DataFrame:
     later steps read only the columns they need. The tables are removed when Python ends."""
     spark = df.sparkSession
     path = f"{_shared_folder(spark).rstrip('/')}/leadspark/{uuid.uuid4().hex}"
+    schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     _WRITTEN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()  # Spark removes the shuffle files of what can no longer be reached
+    out = spark.read.schema(schema).parquet(path)
+    out._table = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the table of a DataFrame that cut() returned, once what follows from it has been written itself."""
+    path = getattr(df, "_table", None)
+    if path:
+        p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @atexit.register
