@@ -80,12 +80,21 @@ def person(name: str) -> str:
     return " ".join(kept or words)
 
 
-def _most(n: int) -> int:
+#: How much two spellings may differ: as those of firms that contradict each other in phone and domain, that do neither, that share one.
+STRICT, PLAIN, LOOSE = 0, 1, 2
+
+
+def _most(n: int, level: int = LOOSE) -> int:
+    """The typing mistakes allowed in a word of n letters."""
+    if level == STRICT:
+        return 0 if n < 5 else 1 if n < 12 else 2
+    if level == PLAIN:
+        return 0 if n < 3 else 1 if n < 5 else 2 if n < 12 else 3
     return 0 if n < 3 else 1 if n < 5 else 2 if n < 8 else 3
 
 
 @lru_cache(200_000)
-def _alike(a: str, b: str) -> float:
+def _alike(a: str, b: str, level: int = LOOSE) -> float:
     """How well two words of firms' names agree: 1 equal, less for typing mistakes and abbreviations, 0 not at all."""
     if a == b:
         return 1.0
@@ -101,7 +110,7 @@ def _alike(a: str, b: str) -> float:
             return 0.0
     n = min(len(x), len(y))
     lost = x.count("?") + x.count("�") + y.count("?") + y.count("�")
-    most = _most(n) + lost
+    most = _most(n, level) + lost
     if abs(len(x) - len(y)) <= most and (d := typing_distance(x, y, most)) <= most:
         return 1 - d / (2 * max(len(x), len(y)))
     for s, t, dotted in ((x, y, a.endswith(".")), (y, x, b.endswith("."))):
@@ -121,7 +130,7 @@ def _subsequence(s: str, t: str) -> bool:
 
 
 @lru_cache(200_000)
-def same_organisation(a: str, b: str) -> bool:
+def same_organisation(a: str, b: str, level: int = LOOSE) -> bool:
     """Whether two firms' names, as organisation() gives them, may be one firm's: every word of one has a counterpart in the other."""
     if a == b:
         return True
@@ -129,7 +138,7 @@ def same_organisation(a: str, b: str) -> bool:
     p, q = a.split(), b.split()
     ja, jb = a.replace(" ", "").replace(".", ""), b.replace(" ", "").replace(".", "")
     n = min(len(ja), len(jb))
-    most = n * 2 // 9 if n >= 6 else 0
+    most = (n // 12, min(2, n // 9), n * 2 // 9)[level] if n >= 6 else 0
     for x, y in ((ja, jb), ("".join(sorted(p)).replace(".", ""), "".join(sorted(q)).replace(".", ""))):
         if most and abs(len(x) - len(y)) <= most and typing_distance(x, y, most) <= most:
             return True
@@ -139,7 +148,7 @@ def same_organisation(a: str, b: str) -> bool:
     for w in sorted(p, key=lambda w: -len(w)):
         best, at = 0.0, -1
         for k, r in enumerate(left):
-            if (s := _alike(w, r)) > best:
+            if (s := _alike(w, r, level)) > best:
                 best, at = s, k
         if at >= 0:
             r = left.pop(at)
@@ -154,9 +163,9 @@ def same_organisation(a: str, b: str) -> bool:
     # words run together or split: the words without a counterpart spell the same
     x, y = "".join(lone).replace(".", ""), "".join(left).replace(".", "")
     n = max(len(x), len(y))
-    if n >= 5 and abs(len(x) - len(y)) <= 3 and typing_distance(x, y, 3) <= (3 if n >= 10 else 1):
+    if n >= 5 and abs(len(x) - len(y)) <= 3 and typing_distance(x, y, 3) <= ((1, 2, 3)[level] if n >= 10 else min(1, level)):
         return True
-    if strong >= 4 and n >= 4 and len(lone) == len(rest) == 1 and x[0] == y[0] and typing_distance(x, y, 4) <= (3 if n < 8 else n // 3):
+    if level == LOOSE and strong >= 4 and n >= 4 and len(lone) == len(rest) == 1 and x[0] == y[0] and typing_distance(x, y, 4) <= (3 if n < 8 else n // 3):
         return True  # one mistyped word beside words that agree
     for s, t in ((p, jb), (q, ja)):  # one name inside the other
         s = "".join(s).replace(".", "")
@@ -165,6 +174,20 @@ def same_organisation(a: str, b: str) -> bool:
     return not rest and not weighty
 
 
+@lru_cache(200_000)
+def level_of(a: str, b: str) -> int | None:
+    """The strictest level at which two firms' names agree; None if they do at none."""
+    return next((k for k in (STRICT, PLAIN, LOOSE) if same_organisation(a, b, k)), None)
+
+
+def allowed(phones: tuple, domains: tuple) -> int:
+    """The level for two rows by their phones and domains (null: unknown): LOOSE if one agrees, STRICT if both contradict, else PLAIN."""
+    (p, q), (d, e) = phones, domains
+    if p is not None and p == q or d is not None and d == e:
+        return LOOSE
+    return STRICT if None not in (p, q, d, e) else PLAIN
+
+
 @lru_cache(200_000)
 def _in_full(a: str, b: str) -> bool:
     """Whether two or more full words of two persons' names agree, so that the firm's name need not."""
@@ -238,19 +261,20 @@ def _keys(text: str) -> list[str]:
     return list(dict.fromkeys([w for w in words if len(w) >= 4] + ["".join(words)]))
 
 
-def _pairs(items: list[tuple[str, str]], person_field: bool) -> list[tuple[int, int]]:
-    """The pairs of items (name, firm) that name the same, by place in the list; an item pairs with itself too. A small block is a
+def _pairs(items: list[tuple[str, str]], person_field: bool) -> list[tuple[int, int, int]]:
+    """The pairs of items (name, firm) that name the same, by place in the list, with the level at which they do; an item pairs with
+    itself too. A small block is a
     single metric cell: every two names in it are compared."""
     out = []
     for i, (a, f) in enumerate(items):
-        out.append((i, i))
+        out.append((i, i, STRICT))
         for j in range(i):
             b, g = items[j]
             if person_field:
                 if same_person(a, b) and (not f or not g or same_organisation(f, g) or _in_full(a, b)):
-                    out.append((j, i))
-            elif same_organisation(a, b):
-                out.append((j, i))
+                    out.append((j, i, STRICT))
+            elif (level := level_of(a, b)) is not None:
+                out.append((j, i, level))
     return out
 
 
@@ -272,10 +296,10 @@ def _named(df: DataFrame) -> DataFrame:
 
 
 def blocks(named: DataFrame) -> DataFrame:
-    """(block, id, placed, org, who, org_hash, who_hash, home): each lead in the block of its place; and in those of its phone and its
+    """(block, id, placed, org, who, org_hash, who_hash, p, d, home): each lead in the block of its place; and in those of its phone and its
     domain, if the block has a lead without a place."""
     placed = (F.col("num") != "") & (F.col("street") != "") & (F.col("town") != "")
-    rest = ["id", placed.alias("placed"), "org", "who", "org_hash", "who_hash", F.when(F.col("home") == "", F.col("town")).otherwise(F.col("home")).alias("home")]
+    rest = ["id", placed.alias("placed"), "org", "who", "org_hash", "who_hash", F.when(F.col("phone").isNotNull(), F.xxhash64("phone")).alias("p"), F.when(F.col("domain").isNotNull(), F.xxhash64("domain")).alias("d"), F.when(F.col("home") == "", F.col("town")).otherwise(F.col("home")).alias("home")]
     at = named.where(placed).select(F.concat_ws("|", F.lit("a"), "town", "num", "street").alias("block"), *rest)
     for k in ("phone", "domain"):
         keyed = named.where(F.col(k).isNotNull()).select(F.concat(F.lit(k[0]), F.col(k)).alias("block"), *rest)
@@ -299,7 +323,7 @@ def _apart(x: tuple, y: tuple, placed_block: bool) -> bool:
 
 
 def _row_pairs(block: str, rows: list[tuple]) -> list[tuple[str, int, int]]:
-    """The links of a block's rows (id, placed, org, who, org_hash, who_hash, home)."""
+    """The links of a block's rows (id, placed, org, who, org_hash, who_hash, home, p, d); p and d stand for phone and domain."""
     out, at = [], block[0] == "a"
     for field, name, stored in (("business_name", 2, 4), ("decision_maker_name", 3, 5)):
         person_field = name == 3
@@ -310,11 +334,11 @@ def _row_pairs(block: str, rows: list[tuple]) -> list[tuple[str, int, int]]:
         if len(by_item) < 2 and all(len({r[stored] for r in v}) < 2 for v in by_item.values()):
             continue
         items = list(by_item)
-        for i, j in _pairs(items, person_field):
+        for i, j, level in _pairs(items, person_field):
             xs, ys = by_item[items[i]], by_item[items[j]]
             for x in xs:
                 for y in ys:
-                    if x[stored] != y[stored] and (i != j or x[0] < y[0]) and x[0] != y[0] and not _apart((x[1], x[6]), (y[1], y[6]), at):
+                    if x[stored] != y[stored] and (i != j or x[0] < y[0]) and x[0] != y[0] and level <= allowed((x[7], y[7]), (x[8], y[8])) and not _apart((x[1], x[6]), (y[1], y[6]), at):
                         out.append((field, min(x[0], y[0]), max(x[0], y[0])))
     return out
 
@@ -328,7 +352,7 @@ def linked(at: DataFrame) -> DataFrame:
     hot = cut(sizes.where(F.col("count") > BLOCK_ROWS).select("block"))
     some_hot = bool(hot.limit(1).count())
     cool = at.join(sizes.where((F.col("count") > 1) & (F.col("count") <= BLOCK_ROWS)).select("block"), "block", "left_semi") if some_hot else at
-    columns = ("id", "placed", "org", "who", "org_hash", "who_hash", "home")
+    columns = ("id", "placed", "org", "who", "org_hash", "who_hash", "home", "p", "d")
     streamed = cool.select("block", *columns).repartition("block").sortWithinPartitions("block")
 
     def run(batches):
@@ -356,7 +380,7 @@ def linked(at: DataFrame) -> DataFrame:
 def _linked(at: DataFrame, field: str) -> DataFrame:
     """Pairs of ids of one block whose names in the field agree and are not stored as one string."""
     name, stored, is_person = ("who", "who_hash", True) if field == "decision_maker_name" else ("org", "org_hash", False)
-    have = at.where(F.col(name) != "").select("block", "id", "placed", F.col(name).alias("name"), (F.col("org") if is_person else F.lit("")).alias("firm"), F.col(stored).alias("stored"), "home")
+    have = at.where(F.col(name) != "").select("block", "id", "placed", F.col(name).alias("name"), (F.col("org") if is_person else F.lit("")).alias("firm"), F.col(stored).alias("stored"), "home", "p", "d")
     items = have.groupBy("block", "name", "firm").agg(F.min("stored").alias("s0"), F.max("stored").alias("s1"))
     sized = items.groupBy("block").agg(F.count("*").alias("n"), F.max(F.expr("s0 <> s1")).alias("mixed")).where("n > 1 or mixed")
     small = items.join(sized.where(F.col("n") <= CELL), "block", "left_semi").select("block", "name", "firm").repartition("block").sortWithinPartitions("block")
@@ -365,8 +389,8 @@ def _linked(at: DataFrame, field: str) -> DataFrame:
         at_, mine = None, []
 
         def flush(out):
-            for i, j in _pairs(mine, is_person):
-                out.append((at_, *mine[i], *mine[j]))
+            for i, j, level in _pairs(mine, is_person):
+                out.append((at_, *mine[i], *mine[j], level))
 
         for b in batches:
             out = []
@@ -375,19 +399,20 @@ def _linked(at: DataFrame, field: str) -> DataFrame:
                     flush(out)
                     at_, mine = bl, []
                 mine.append((n, f))
-            yield dict(zip(("block", "n1", "f1", "n2", "f2"), map(list, zip(*out)) if out else ([],) * 5))
+            yield dict(zip(("block", "n1", "f1", "n2", "f2", "level"), map(list, zip(*out)) if out else ([],) * 6))
         out = []
         flush(out)
-        yield dict(zip(("block", "n1", "f1", "n2", "f2"), map(list, zip(*out)) if out else ([],) * 5))
+        yield dict(zip(("block", "n1", "f1", "n2", "f2", "level"), map(list, zip(*out)) if out else ([],) * 6))
 
-    schema = "block string, n1 string, f1 string, n2 string, f2 string"
+    schema = "block string, n1 string, f1 string, n2 string, f2 string, level int"
     pairs = map_partitions(small, run, schema)
     large = cut(items.join(sized.where(F.col("n") > CELL).select("block"), "block", "left_semi").select("block", "name", "firm"))
     if large.limit(1).count():
         pairs = pairs.union(_large(large, is_person, schema))
-    a = have.select("block", F.col("id").alias("ia"), F.col("name").alias("n1"), F.col("firm").alias("f1"), F.col("stored").alias("sa"), F.col("placed").alias("pa"), F.col("home").alias("ha"))
-    b = have.select("block", F.col("id").alias("ib"), F.col("name").alias("n2"), F.col("firm").alias("f2"), F.col("stored").alias("sb"), F.col("placed").alias("pb"), F.col("home").alias("hb"))
+    a = have.select("block", F.col("id").alias("ia"), F.col("name").alias("n1"), F.col("firm").alias("f1"), F.col("stored").alias("sa"), F.col("placed").alias("pa"), F.col("home").alias("ha"), F.col("p").alias("p1"), F.col("d").alias("d1"))
+    b = have.select("block", F.col("id").alias("ib"), F.col("name").alias("n2"), F.col("firm").alias("f2"), F.col("stored").alias("sb"), F.col("placed").alias("pb"), F.col("home").alias("hb"), F.col("p").alias("p2"), F.col("d").alias("d2"))
     both = pairs.join(a, ["block", "n1", "f1"]).join(b, ["block", "n2", "f2"]).where("ia <> ib and sa <> sb")
+    both = both.where(f"level <= case when p1 = p2 or d1 = d2 then {LOOSE} when p1 is not null and p2 is not null and d1 is not null and d2 is not null then {STRICT} else {PLAIN} end")
     # in the block of a phone or domain, two places are two organisations; without a place the towns must not differ
     both = both.where("substring(block, 1, 1) = 'a' or (not (pa and pb) and (ha = '' or hb = '' or levenshtein(ha, hb, 2) >= 0))")
     return both.select(F.least("ia", "ib").alias("source_row_id_a"), F.greatest("ia", "ib").alias("source_row_id_b")).distinct()
@@ -422,8 +447,19 @@ def _large(items: DataFrame, is_person: bool, schema: str) -> DataFrame:
     full = candidates.join(i, ["block", "n1"]).join(j, ["block", "n2"]).where("n1 < n2 or f1 <= f2")
 
     def check(b):
-        yes = [k for k, (n, f, m, g) in enumerate(zip(b["n1"], b["f1"], b["n2"], b["f2"])) if (n == m and f == g) or (same_person(n, m) and (not f or not g or same_organisation(f, g) or _in_full(n, m)) if is_person else same_organisation(n, m))]
-        return {c: [b[c][k] for k in yes] for c in ("block", "n1", "f1", "n2", "f2")}
+        out = {c: [] for c in ("block", "n1", "f1", "n2", "f2", "level")}
+        for row in zip(*[b[c] for c in ("block", "n1", "f1", "n2", "f2")]):
+            _, n, f, m, g = row
+            if n == m and f == g:
+                level = STRICT
+            elif is_person:
+                level = STRICT if same_person(n, m) and (not f or not g or same_organisation(f, g) or _in_full(n, m)) else None
+            else:
+                level = level_of(n, m)
+            if level is not None:
+                for c, v in zip(out, (*row, level)):
+                    out[c].append(v)
+        return out
 
     return map_batches(full.select("block", "n1", "f1", "n2", "f2"), check, schema)
 
