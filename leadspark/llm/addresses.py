@@ -81,6 +81,9 @@ _BLANKS = re.compile(r"  +")
 _PLAIN = re.compile(r"([^\W\d_][^\d,;|/\n:?�()–-]{3,40}?)(?<! nr)(?<! nr\.)(?<! no)(?<! no\.),? (\d{1,3}) ?([a-h])?, (\d{5}|\d{4} ?[a-z]{2}|\d{4}-\d{3}|\d{2}-0\d{2}) ([a-z]+)(?:, (?:" + "|".join(COUNTRIES) + "|" + _CODES + r"))?$")
 
 
+_PLAIN_NUMBER_FIRST = re.compile(r"(\d{1,3})([a-h])?,? ([^\W\d_]{2,}\.? [^\W\d_][^\d,;|/\n:?�()–.-]{2,40}), (\d{5}) ([a-z]+)(?:, (?:" + "|".join(COUNTRIES) + "|" + _CODES + r"))?$")
+
+
 @lru_cache(50_000)
 def _home(city: str | None) -> tuple[str, int]:
     """The town's column, folded and in one word, and of how many words."""
@@ -100,6 +103,8 @@ def parse(address: str | None, city: str | None) -> tuple[str, str, str, str] |
     if home and (m := _PLAIN.match(t)) and m[5] == home:
         number = m[2].lstrip("0") + (m[3] or "")
         return "".join(_WORD.findall(m[1])), number, home, m[4].replace(" ", "").replace("-", "")
+    if home and (m := _PLAIN_NUMBER_FIRST.match(t)) and m[5] == home:
+        return "".join(_WORD.findall(m[3])), m[1].lstrip("0") + (m[2] or ""), home, m[4]
     t = _BLANKS.sub(" ", t.translate(_DASHES))
     for _ in range(2):
         t = _COUNTRY.sub("", t)
@@ -308,7 +313,7 @@ def mine(rows: DataFrame) -> tuple[set[tuple[str, str, str]], int]:
                 if s == t or t in (options := r.of(s)) or s in r.of(t):
                     continue
                 # what is left after the rewrites known so far
-                o = min(options[:12], key=lambda o: (edit_distance(o, t, 8), o != s, o)) if now else s
+                o = min(options[:12], key=lambda o: (edit_distance(o, t, 4), o != s, o)) if now else s
                 for d in _differences(o, t):
                     for k, v in zip(("top", "where", "x", "y"), (t, *d)):
                         out[k].append(v)
@@ -317,10 +322,18 @@ def mine(rows: DataFrame) -> tuple[set[tuple[str, str, str]], int]:
         counted = map_batches(pairs.where("street <> top"), diff, "top string, where string, x string, y string").groupBy("where", "x", "y").agg(F.count_distinct("top").alias("n")).where(F.col("n") >= LEAST).collect()
         ends = frozenset((c["where"], c.x) for c in counted)
 
-        def occurrences(b, ends=ends):
-            got = [("start", s[:n]) for s in b["street"] for n in range(10) if ("start", s[:n]) in ends]
-            got += [("end", s[-n:]) for s in b["street"] for n in range(1, 10) if ("end", s[-n:]) in ends]
-            return {"where": [g[0] for g in got], "x": [g[1] for g in got]}
+        def occurrences(b, starts=frozenset(x for w, x in ends if w == "start"), tails=frozenset(x for w, x in ends if w == "end")):
+            where, found = [], []
+            for s in b["street"]:
+                for n in range(10):
+                    if (x := s[:n]) in starts:
+                        where.append("start")
+                        found.append(x)
+                for n in range(1, 10):
+                    if (x := s[-n:]) in tails:
+                        where.append("end")
+                        found.append(x)
+            return {"where": where, "x": found}
 
         occurs = {(o["where"], o.x): o["count"] for o in map_batches(pairs.select("street").distinct(), occurrences, "where string, x string").groupBy("where", "x").count().collect()} if ends else {}
         new = _significant([(c["where"], c.x, c.y, c.n) for c in counted], occurs) - known
