@@ -69,8 +69,7 @@ def sized(df: DataFrame) -> DataFrame:
         signals += [size.headcount_signal("page_text"), size.team_signal("page_text")]
     if "html" in has:
         signals.append(size.careers_signal("html"))
-    d = df.withColumn("_s", size.estimate(signals))
-    return d.withColumns({f"company_size_{k}": F.col(f"_s.{k}") for k in ("bucket", "midpoint", "confidence", "source", "evidence")}).drop("_s")
+    return size.with_estimate(df, signals)
 
 
 def apply_legal(df: DataFrame) -> DataFrame:

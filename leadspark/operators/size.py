@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col
@@ -80,17 +80,17 @@ def count_signal(source: str, raw: Column | str) -> Column:
     return _signal(source, F.when(n > 0, n), F.concat(F.lit(f"{source}:"), col(raw).cast("string")))
 
 
-def estimate(signals: list[Column]) -> Column:
-    """struct(bucket, midpoint, confidence, source, evidence) of the signals that are not null: the given count if there is one, else the
-    weighted mean; all null without a signal."""
-    have = F.filter(F.array(*signals), lambda s: s.isNotNull())
-    weight = F.aggregate(have, F.lit(0.0), lambda a, s: a + s["weight"])
-    mean = F.aggregate(have, F.lit(0.0), lambda a, s: a + s["weight"] * s["midpoint"]) / weight
-    ranked = F.transform(F.array_sort(F.transform(have, lambda s, i: F.struct((-s["weight"]).alias("w"), i.alias("i"), s.alias("s")))), lambda x: x["s"])
-    top = F.get(ranked, F.lit(0))
-    given = top["source"].isin("api", "jsonld")
-    some = F.size(have) > 0
-    return F.when(some, F.struct(
-        F.when(given, top["bucket"]).otherwise(bucket(mean)).alias("bucket"), F.when(given, top["midpoint"]).otherwise(mean).alias("midpoint"),
-        F.when(weight >= 7, "high").when(weight >= 3, "medium").otherwise("low").alias("confidence"), top["source"].alias("source"), F.array_join(F.transform(F.slice(ranked, 1, 3), lambda s: s["evidence"]), "; ").alias("evidence"),
-    ))
+def with_estimate(df: DataFrame, signals: list[Column], prefix: str = "company_size") -> DataFrame:
+    """df with prefix_bucket, _midpoint, _confidence, _source and _evidence by the signals that are not null: the given count if there is
+    one, else the weighted mean; all null without a signal. Every step is a column of its own, so that none is worked out twice."""
+    d = df.withColumn("_signals", F.array(*signals)).withColumn("_have", F.filter("_signals", lambda s: s.isNotNull()))
+    ordered = F.transform(F.array_sort(F.transform("_have", lambda s, i: F.struct((-s["weight"]).alias("w"), i.alias("i"), s.alias("s")))), lambda x: x["s"])
+    d = d.withColumns({"_ranked": ordered, "_weight": F.aggregate("_have", F.lit(0.0), lambda a, s: a + s["weight"]), "_sum": F.aggregate("_have", F.lit(0.0), lambda a, s: a + s["weight"] * s["midpoint"])})
+    d = d.withColumns({"_top": F.get("_ranked", F.lit(0)), "_mean": F.when(F.col("_weight") > 0, F.col("_sum") / F.col("_weight"))})
+    given, some = F.col("_top.source").isin("api", "jsonld"), F.size("_have") > 0
+    d = d.withColumns({
+        f"{prefix}_bucket": F.when(given, F.col("_top.bucket")).otherwise(bucket(F.col("_mean"))), f"{prefix}_midpoint": F.when(given, F.col("_top.midpoint")).otherwise(F.col("_mean")),
+        f"{prefix}_confidence": F.when(some, F.when(F.col("_weight") >= 7, "high").when(F.col("_weight") >= 3, "medium").otherwise("low")), f"{prefix}_source": F.col("_top.source"),
+        f"{prefix}_evidence": F.when(some, F.array_join(F.transform(F.slice("_ranked", 1, 3), lambda s: s["evidence"]), "; ")),
+    })
+    return d.drop("_signals", "_have", "_ranked", "_weight", "_sum", "_top", "_mean")

@@ -102,5 +102,5 @@ def test_buckets(spark):
 
 def test_size_of_reviews_and_category(spark):
     df = spark.createDataFrame([(150, "food", "Bakery")], "reviews_count_normalized int, canonical_category string, category string")
-    r = df.select(size.estimate([size.review_signal("reviews_count_normalized"), size.category_signal("canonical_category", "category")]).alias("s")).first().s
-    assert (r.bucket, r.confidence, r.source, r.evidence) == ("6-20", "medium", "review_count", "review_count:150_reviews; category_prior:food→6-20")
+    r = size.with_estimate(df, [size.review_signal("reviews_count_normalized"), size.category_signal("canonical_category", "category")], "s").first()
+    assert (r.s_bucket, r.s_confidence, r.s_source, r.s_evidence) == ("6-20", "medium", "review_count", "review_count:150_reviews; category_prior:food→6-20")
