@@ -144,6 +144,24 @@ def typing_distance(a: str, b: str, most: int) -> int:
     return min(last[-1], most + 1)
 
 
+def segment_keys(s: str, most: int) -> list[str]:
+    """Keys of s such that any text within `most` edits has one of them among its segment_probes: s is cut into most + 1 segments."""
+    n = len(s)
+    return [f"{n}|{k}|{s[n * k // (most + 1) : n * (k + 1) // (most + 1)]}" for k in range(most + 1)]
+
+
+def segment_probes(s: str, most: int) -> list[str]:
+    """Where the segments of a text within `most` edits can stand in s. The first segment k up to whose end there are at most k edits
+    has none of its own and exactly k before it, so it is shifted by at most k, and by at most most - k seen from the end."""
+    out = {}
+    for n in range(max(0, len(s) - most), len(s) + most + 1):
+        for k in range(most + 1):
+            i, j = n * k // (most + 1), n * (k + 1) // (most + 1)
+            for x in range(max(-k, len(s) - n - most + k, -i), min(k, len(s) - n + most - k, len(s) - j) + 1):
+                out[f"{n}|{k}|{s[i + x : j + x]}"] = None
+    return list(out)
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str | T.StructType) -> DataFrame:
     """mapInArrow over lists: fn gets a batch's columns as lists and returns the result's."""
     out = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)

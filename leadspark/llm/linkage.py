@@ -1,7 +1,8 @@
 """Problem 6: leads and provider records of one business, without a shared key.
 
-Method: candidates come from blocks of several attributes: the place, the phone, the host, and MinHash bands of the name's trigrams at
-a house number (so that places a typing mistake apart still meet). Each candidate pair gets similarity features; a logistic model is trained on weak labels (votes of the attributes, strong
+Method: candidates come from blocks of several attributes: the place, the phone, the host, and all places of one house number that are
+up to NEAR letters apart in town and street, whatever the names (an exact block, which holds all that MinHash bands of names could add).
+Each candidate pair gets similarity features; a logistic model is trained on weak labels (votes of the attributes, strong
 agreements against strong contradictions) and its scores are calibrated on pairs it has not seen, so that a confidence is a
 probability. Pairs at two different places are none, whatever they share: a business is at one place.
 """
@@ -13,13 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import addresses
-from .common import cut, fold, is_missing, map_batches, missing, usable_domain, usable_phone
+from .common import cut, fold, is_missing, map_batches, missing, segment_keys, segment_probes, usable_domain, usable_phone
 from .names import _alike, allowed, organisation, same_organisation
 
 #: The labelled pairs that the model is fitted on: at most so many, chosen by hash. Everything else covers all pairs.
 TRAIN = 20_000
-#: MinHash: bands of rows; names of trigram similarity 0.5 share a band with probability 0.68, of 0.7 with 0.93.
-BANDS, ROWS = 4, 2
+#: MinHash (with_bands, no block of matches any more): bands of rows; names of trigram similarity 0.5 share a band with probability 0.82, of 0.65 with 0.96.
+BANDS, ROWS = 6, 2
+#: Places of one house number up to so many letters apart are compared.
+NEAR = 3
 FEATURES = ("name_same", "name_near", "name_differs", "place_same", "place_differs", "phone_same", "phone_differs", "host_same", "host_differs", "town_same")
 
 
@@ -121,10 +124,27 @@ def records(leads: DataFrame, orgs: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def keyed(df: DataFrame) -> DataFrame:
-    """(id, key) of every block that a record is in: place, phone, host, and the bands of its name at its house number."""
+    """(id, key) of every exact block that a record is in: place, phone, host."""
     exact = F.array(F.when(F.col("place") != "", F.xxhash64(F.lit("a"), "place")), F.when(F.col("phone").isNotNull(), F.xxhash64(F.lit("p"), "phone")), F.when(F.col("host").isNotNull(), F.xxhash64(F.lit("h"), "host")))
-    d = with_bands(df, F.col("name"), F.split_part("place", F.lit("|"), F.lit(2)))
-    return d.select("id", F.explode(F.filter(F.concat(exact, F.coalesce("bands", F.array().cast("array<long>"))), lambda x: x.isNotNull())).alias("key"))
+    return df.select("id", F.explode(F.filter(exact, lambda x: x.isNotNull())).alias("key"))
+
+
+def near_places(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(a_place, b_place): every place of a and every other one of b with the same house number that are within NEAR edits.
+
+    A number stands between the parts, so the edits of town and street add up: towns of a meet the towns of b within NEAR edits (by
+    segments, one of which NEAR edits leave whole), and the places of such towns and one number are compared."""
+    parts = lambda d: d.where("place <> ''").select("place", F.split_part("place", F.lit("|"), F.lit(1)).alias("t"), F.split_part("place", F.lit("|"), F.lit(2)).alias("num")).distinct()
+    x, y = parts(a), parts(b)
+
+    def split(make):
+        return lambda b: {"t": [t for t in b["t"] for _ in make(t, NEAR)], "k": [k for t in b["t"] for k in make(t, NEAR)]}
+
+    p = map_batches(x.select("t").distinct(), split(segment_probes), "t string, k string")
+    q = map_batches(y.select("t").distinct(), split(segment_keys), "t string, k string").withColumnRenamed("t", "u")
+    towns = p.join(q, "k").where(F.levenshtein("t", "u", NEAR) >= 0).select("t", "u").distinct()
+    met = x.withColumnRenamed("place", "a_place").join(towns, "t").join(y.select(F.col("place").alias("b_place"), F.col("t").alias("u"), "num"), ["u", "num"])
+    return met.where((F.col("a_place") != F.col("b_place")) & (F.levenshtein("a_place", "b_place", NEAR) >= 0)).select("a_place", "b_place")
 
 
 def matches(leads: DataFrame, orgs: DataFrame, shared: DataFrame, least: float = 0.75) -> DataFrame:
@@ -134,13 +154,16 @@ def matches(leads: DataFrame, orgs: DataFrame, shared: DataFrame, least: float =
     an empty table gives no row. Blocks join only leads with provider records, never a table with itself."""
     all_ = cut(records(leads.where("duplicate_group_id is null"), orgs, shared))
     org_keys = keyed(all_.where("is_org")).withColumnRenamed("id", "org")
-    candidates = keyed(all_.where("not is_org")).withColumnRenamed("id", "lead").join(org_keys, "key").select("lead", "org").distinct()
+    candidates = keyed(all_.where("not is_org")).withColumnRenamed("id", "lead").join(org_keys, "key").select("lead", "org")
+    near = near_places(all_.where("not is_org"), all_.where("is_org"))
+    near = near.join(all_.where("not is_org").select(F.col("id").alias("lead"), F.col("place").alias("a_place")), "a_place").join(all_.where("is_org").select(F.col("id").alias("org"), F.col("place").alias("b_place")), "b_place")
+    candidates = candidates.union(near.select("lead", "org")).distinct()
     attributes = ("name", "place", "phone", "host", "town", "city")
     a = all_.where("not is_org").select(F.col("id").alias("lead"), *[F.col(c).alias(f"a_{c}") for c in attributes])
     b = all_.where("is_org").select(F.col("id").alias("org"), *[F.col(c).alias(f"b_{c}") for c in attributes])
     joined = candidates.join(b, "org").join(a, "lead")
     # a name alone says nothing, since like-named firms are elsewhere too: place (but for typing mistakes), phone or host must agree
-    some = (F.col("a_place") == F.col("b_place")) & (F.col("a_place") != "") | (F.col("a_phone") == F.col("b_phone")) | (F.col("a_host") == F.col("b_host")) | (F.levenshtein("a_place", "b_place", 3) >= 0)
+    some = (F.col("a_place") == F.col("b_place")) & (F.col("a_place") != "") | (F.col("a_phone") == F.col("b_phone")) | (F.col("a_host") == F.col("b_host")) | (F.levenshtein("a_place", "b_place", NEAR) >= 0)
     joined = joined.where(some)
 
     def run(b):

@@ -53,3 +53,37 @@ def test_rows(spark):
     # another place, another firm at the place, nothing at all, and a mere name match nothing
     assert got == {(k, 1000 + k) for k in range(n)}
     assert K.matches(a.limit(0), b, shared).count() == 0 and K.matches(a, b.limit(0), shared).count() == 0
+
+
+def test_near_places_equal_brute_force(spark):
+    from leadspark.llm.common import edit_distance
+
+    r = random.Random(4)
+    towns, streets = ["roslenfeld", "ostsketal"], ["hauptgasse", "hafenweg"]
+
+    def typo(s):
+        for _ in range(r.randrange(3)):
+            k = r.randrange(len(s))
+            s = s[:k] + r.choice(["", "x", s[k] + "y"]) + s[k + 1 :]
+        return s
+
+    a, b = ([f"{typo(r.choice(towns))}|{r.choice('17')}|{typo(r.choice(streets))}" for _ in range(120)] for _ in "ab")
+    got = {tuple(x) for x in K.near_places(*[spark.createDataFrame([(p,) for p in [*d, ""]], "place string") for d in (a, b)]).collect()}
+    want = {(p, q) for p in a for q in b if p != q and p.split("|")[1] == q.split("|")[1] and edit_distance(p, q, 3) <= 3}
+    assert got == want and want
+
+
+def test_near_places_meet_whatever_the_names(spark):
+    lead = "source_row_id long, business_name string, address string, city string, phone_e164 string, website_domain string, duplicate_group_id long"
+    org = "org_id long, org_name string, org_address string, org_phone string, org_website string"
+    n = 60
+    name = lambda k: f"Foo{chr(97 + k % 26)}{chr(97 + k // 26)}bar"
+    leads = [(k, f"Café {name(k)}", f"Hauptgasse {k + 1}, 10000 Roslenfeld", "Roslenfeld", f"+4930555{k:05d}", f"foo{k}.example", None) for k in range(n)]
+    # no phone and no host, and a name whose raw trigrams differ
+    orgs = [(1000 + k, f"Cafe {name(k)} GmbH", f"Hauptgasse {k + 1}, 10000 Roslenfeld", f"030555{k:05d}", f"foo{k}.example") for k in range(40)]
+    orgs += [(1000 + k, f"{name(k).upper()} CAFÉ GmbH & Co. KG, Roslenfeld", f"Hauptgase {k + 1}, Roslenfeldt", None, None) for k in range(40, n)]
+    a, b = spark.createDataFrame(leads, lead), spark.createDataFrame(orgs, org)
+    all_ = K.records(a, b, spark.createDataFrame([], "domain string"))
+    near = K.near_places(all_.where("not is_org"), all_.where("is_org")).count()
+    met = all_.where("not is_org").select("place").join(all_.where("is_org").select("place"), "place").count()
+    assert near + met == n
