@@ -362,11 +362,12 @@ def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str
     """The streets of one town that have one house number: each to the spelling it stands for. streets: (street, rows here, rows in all).
 
     A street stands for another if rewrites make them one, or if it is a rare spelling within a few typing mistakes of a frequent one:
-    seen in all at most a tenth as often, so that streets which merely resemble each other stay apart."""
+    seen in all at most a tenth as often, so that streets which merely resemble each other stay apart. Every rare spelling is compared with
+    every frequent one of about its length."""
     order = sorted(streets, key=lambda x: (-x[2], -x[1], x[0]))
     to: dict[str, str] = {}
     index: dict[str, str] = {}
-    near: dict[str, set[tuple[str, str]]] = defaultdict(set)
+    near: dict[int, list[tuple[frozenset, str, str]]] = defaultdict(list)  # by length: none is left out
     total = {s: g for s, _, g in order}
     rare = max(0.1 * order[0][2], 2)
     for s, _, g in order:
@@ -378,7 +379,8 @@ def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str
                 if len(o) < len(s):
                     continue  # abbreviations resemble each other too easily
                 lost = o.count("?") + o.count("�")
-                for c, spelling in {c for k in _pieces(o) for c in near.get(k, ())}:
+                mine, far = letters(o), _limit(len(o)) + lost
+                for common, c, spelling in [x for n in range(len(o) - far, len(o) + far + 1) for x in near.get(n, ())]:
                     gc = total[c]
                     if not (g <= max(0.1 * gc, 2 if len(s) >= 10 else 1) and g <= gc or lost):
                         continue
@@ -386,7 +388,7 @@ def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str
                     if best:
                         most = min(most, best[0])
                     # every mistake changes at most two members of the set of letters
-                    if len(letters(o) ^ letters(spelling)) > 2 * most:
+                    if len(mine ^ common) > 2 * most:
                         continue
                     d = typing_distance(o, spelling, most)
                     if d <= most and (best is None or (d, -gc, c) < best):
@@ -397,16 +399,10 @@ def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str
         for o in options:
             index.setdefault(o, hit)
             if (hit == s or g > 2) and len(o) >= len(s):
-                for k in _pieces(o):
-                    near[k].add((s, o))
+                near[len(o)].append((letters(o), s, o))
     return to
 
 
-def _pieces(s: str) -> set[str]:
-    """Parts of a street, one of which is left whole by any two typing mistakes."""
-    return {"^" + s[:4], "$" + s[-6:], "-" + s[-9:-5]} if len(s) >= 9 else {"^" + s[:3], "$" + s[-3:]}
-
-
 def _hashed(c: str | None) -> Column:
     """A key of the mining: 64 bits are enough for evidence."""
     return F.when(F.col(c).isNotNull(), F.xxhash64(c)) if c else F.lit(None).cast("long")

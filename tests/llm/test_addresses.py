@@ -55,3 +55,9 @@ def test_significance():
     counts = [("end", "al", "allee", 20), ("end", "e", "es", 3), ("end", "g", "gasse", 15)]
     got = A._significant(counts, {("end", "al"): 25, ("end", "g"): 30, ("end", "e"): 1000})
     assert ("end", "al", "allee") in got and ("end", "g", "gasse") in got and ("end", "e", "es") not in got
+
+
+@pytest.mark.parametrize("right, wrong", [("hauptstrasse", "huuptstrase"), ("bahnhofstrasse", "bajnhofstrase"), ("rosenweg", "rozenwge"), ("birkenpfad", "brikenfpad"), ("altegrabengasse", "latgrabengasse")])
+def test_every_spelling_within_the_limit_is_compared(right, wrong):
+    to = A.cluster([(right, 30, 100), ("unterdenlinden", 5, 90), (wrong, 1, 1)], A.Rewrites(set()))
+    assert to == {right: right, "unterdenlinden": "unterdenlinden", wrong: right}
