@@ -313,7 +313,7 @@ def mine(rows: DataFrame) -> tuple[set[tuple[str, str, str]], int]:
                 if s == t or t in (options := r.of(s)) or s in r.of(t):
                     continue
                 # what is left after the rewrites known so far
-                o = min(options[:12], key=lambda o: (edit_distance(o, t, 4), o != s, o)) if now else s
+                o = min(options, key=lambda o: (edit_distance(o, t, 8), o != s, o)) if now else s
                 for d in _differences(o, t):
                     for k, v in zip(("top", "where", "x", "y"), (t, *d)):
                         out[k].append(v)

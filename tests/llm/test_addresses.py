@@ -61,3 +61,15 @@ def test_significance():
 def test_every_spelling_within_the_limit_is_compared(right, wrong):
     to = A.cluster([(right, 30, 100), ("unterdenlinden", 5, 90), (wrong, 1, 1)], A.Rewrites(set()))
     assert to == {right: right, "unterdenlinden": "unterdenlinden", wrong: right}
+
+
+def test_a_rewrite_at_one_end_is_mined_beside_a_known_one_at_the_other(spark):
+    stems = ["birnbach", "dornwies", "erlgrund", "fohrhofen", "haselang", "kuhnstein", "larchmuhl", "tannhain", "ulmenrot", "weidfurt"]
+    rows = []
+    for k, m in enumerate(stems):
+        short, long = ("b", "boulevard") if k % 2 else ("p", "promenade")
+        rows += [(f"gr{m}allee", k)] + [(f"grosse{m}allee", k)] * 2 + [(f"kl{m}gasse", 50 + k)] + [(f"kleine{m}gasse", 50 + k)] * 2
+        rows += [(f"gr{m}{short}", 100 + k)] + [(f"grosse{m}{long}", 100 + k)] * 2
+    d = spark.createDataFrame([("roslenfeld", "7", s, k, None) for s, k in rows], "town string, num string, street string, phone long, domain long")
+    found, _ = A.mine(d)
+    assert {("end", "b", "boulevard"), ("end", "p", "promenade"), ("start", "gr", "grosse")} <= found
