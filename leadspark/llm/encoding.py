@@ -25,6 +25,9 @@ from .common import map_batches
 # Charsets that text was read in by mistake, in the order in which readings are tried.
 SHOWN_IN = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "iso8859-2", "iso8859-15", "cp1251", "iso8859-5", "koi8-r", "cp866")
 WRITTEN_IN = ("latin-1", "mac_roman", "cp850", "cp437", "cp1250", "iso8859-2", "cp852")
+# Charsets that have letters where the others have letters, too. A DOS or Mac reading of nothing but letters (ä as õ) comes
+# from mistyped words: contexts of three letters cannot tell it.
+_SISTERS = frozenset({"cp1252", "latin-1", "iso8859-15", "cp1250", "iso8859-2"})
 # Letters beyond a-z of German, French, Spanish, Italian, Portuguese, Dutch and Polish.
 LETTERS = frozenset("äöüßàâæçéèêëîïôœùûÿáíñóúìòãõąćęłńśźż")
 _LETTERS = LETTERS | {c.upper() for c in LETTERS if c != "ß"} | {"Ÿ"}
@@ -141,6 +144,15 @@ class Contexts:
         c = s[i].lower()
         return self.counts.get(_key(s[i - 1] if i else " ", c, s[i + 1] if i + 1 < len(s) else " "), 0) if c in LETTERS else 0
 
+    def usual(self, s: str) -> bool:
+        """Whether no letter of s can be one misread: none has a reading that is ten times as usual as itself between its neighbours."""
+        for i, c in enumerate(s):
+            if c >= "\x80":
+                got = self.open.get(_key(s[i - 1] if i else " ", "x", s[i + 1] if i + 1 < len(s) else " ")[::2])
+                if got and got[0][0] >= 10 * max(self.of(s, i), 2):
+                    return False
+        return True
+
     def fill(self, left: str, right: str) -> tuple[int, str] | None:
         """The usual letter between two neighbours, if one is: ten times as usual as the second."""
         got = self.open.get(_key(left, "x", right)[::2], [])
@@ -157,8 +169,8 @@ def _in_case(s: str, i: int, c: str) -> bool:
 
 _UPPER = "".join(sorted(c for c in _LETTERS if c.isupper()))
 _LOWER = "".join(sorted(LETTERS))
-#: What a damaged value has at least one of, as a pattern for Java and Python alike: a question mark, a character beyond the seven
-#: languages' letters, two non-ASCII characters in a row, or a capital after a small letter.
+#: What a value damaged without regard to a corpus has at least one of, as a pattern for Java and Python alike: a question mark, a
+#: character beyond the seven languages' letters, two non-ASCII characters in a row, or a capital after a small letter.
 SUSPECT = rf"[?]|[^\x00-\x7f{_LOWER}{_UPPER}]|[^\x00-\x7f]{{2}}|[a-z{_LOWER}][{_UPPER}]"
 _SUSPECT = re.compile(SUSPECT)
 #: Without a corpus: every letter of the seven languages is as usual as any.
@@ -209,17 +221,22 @@ def single_byte(s: str, contexts: Contexts | None) -> str | None:
             counts = [(contexts.of(text, i), contexts.of(s, i)) for i in at if new[i] != s[i]]
             good = sum(a >= 3 and a >= 10 * b for a, b in counts)
             bad = sum(a < 3 or a < b for a, b in counts)
-            # foreign letters, signs and capitals among small letters cannot be meant; where nothing of the kind is, nothing is amiss
+            # foreign letters, signs and capitals among small letters cannot be meant
             odd = [s[i] not in _LETTERS or not _in_case(s, i, s[i]) for i in at if new[i] != s[i]]
-            if any(odd) and (good and good >= bad if all(odd) else good and not bad) and (best is None or (good - bad, sum(a for a, _ in counts)) > best[:2]):
+            # letters of the seven languages are misread only where each new one is ten times as usual as the written one can be: contexts
+            # seen up to twice are not counted, and mistyped words make such
+            if good and (good >= bad if all(odd) else not bad if any(odd) else shown in _SISTERS and written in _SISTERS and all(a >= 10 * max(b, 2) for a, b in counts)) and (best is None or (good - bad, sum(a for a, _ in counts)) > best[:2]):
                 best = (good - bad, sum(a for a, _ in counts), text)
     return best[2] if best else None
 
 
 def repair(s: str | None, contexts: Contexts | None = NO_CONTEXTS) -> tuple[str | None, bool]:
     """(the text as it was meant, whether s is damaged). Where the text cannot be known, lost letters stay as U+FFFD."""
-    if not s or not _SUSPECT.search(s):
+    if not s:
         return s, False
+    if not _SUSPECT.search(s):  # plain letters of the seven languages: only the corpus can tell
+        read = None if contexts is None or s.isascii() or contexts.usual(s) else single_byte(s, contexts)
+        return (s, False) if read is None else (unicodedata.normalize("NFC", read), True)
     text, damaged = s, False
     if not s.isascii():
         got = multibyte(s)
@@ -281,7 +298,7 @@ def find_damage(df: DataFrame, id: str, columns: list[str], known: Contexts | No
     known = known or contexts(df, *columns)
     shared = df.sparkSession.sparkContext.broadcast(known)
     long = df.select(F.col(id).alias("id"), F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("value")) for c in columns])).alias("v")).select("id", "v.*")
-    long = long.where(F.col("value").rlike(SUSPECT))
+    long = long.where(F.col("value").rlike(r"[?]|[^\x00-\x7f]"))  # plain ASCII without a question mark is whole
 
     def judge(b: dict[str, list]) -> dict[str, list]:
         rows = [(i, f, v, text) for i, f, v in zip(b["id"], b["field_name"], b["value"]) for text, bad in (repair(v, shared.value),) if bad]

@@ -63,3 +63,15 @@ def test_rows(spark):
     got = sorted((r.source_row_id, r.field_name, r.restored[:8]) for r in find_damage(d, "source_row_id", ["business_name", "address"]).collect())
     assert got == [(6, "business_name", "Bäckerei"), (7, "business_name", "Bäckerei"), (8, "address", "stra�e s")]
     assert find_damage(d.limit(0), "source_row_id", ["business_name", "address"]).count() == 0
+
+
+def test_letters_misread_as_letters(spark):
+    from leadspark.llm.encoding import find_damage
+
+    good = ["Kwiac. Brziiński", "ul. Topolańska 145", "Piekarnia Kręcik", "España", "Peñón", "Bäckerei"]
+    bad = ["Kwiac. Brziiñski", "ul. Topolañska 145", "Piekarnia Krêcik"]
+    mistyped = ["Bkäcerei", "ul. Topolańrska 145"]
+    rows = [(k, v) for k, v in enumerate(good * 25 + bad + mistyped)]
+    d = spark.createDataFrame(rows, "source_row_id long, business_name string")
+    got = sorted((r.source_row_id, r.restored) for r in find_damage(d, "source_row_id", ["business_name"]).collect())
+    assert got == [(150, good[0]), (151, good[1]), (152, good[2])]
