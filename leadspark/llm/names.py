@@ -1,8 +1,9 @@
 """Problem 2: variant spellings of names typed by people.
 
-Method: metric-space partitioning. Names are blocked by what an organisation has (its place; its phone or domain where a record has no
-address), within a block the words of the names go through the exact radius join of metric.py under the edit distance, and pairs that
-share a word within the radius are compared word by word (order, abbreviations, legal forms, initials, nicknames).
+Method: names are blocked by what an organisation has (its place; its phone or domain where a record has no address). Within a block every
+two names are compared word by word (order, abbreviations, legal forms, initials, nicknames); in a large block every two words are, by
+bit signatures first, and then the names that this makes candidates. Pivots (metric.py) are not used: the comparison is no metric, and it
+reaches three typing mistakes a word (up to six edits where letters are swapped), as far as unrelated words of that length often are.
 """
 
 from __future__ import annotations
@@ -11,16 +12,14 @@ import re
 from collections import defaultdict
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import addresses
 from .common import cut, discard, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
 from .encoding import repaired
-from .metric import CELL, cells, within
-
-#: The radius of the join of words.
-RADIUS = 2
+from .metric import CELL
 
 # Legal forms at the end of a firm's name, folded, without dots and blanks.
 LEGAL = frozenset("gmbh gmbhcokg gmbhundcokg gmbhucokg gmbhetcokg cokg kg ohg ug ek ekfr ag gbr ev sarl eurl sas sasu sa snc srl srls spa sl slu sll sau lda ltda unipessoal unipessoallda bv vof nv cv spzoo spzook sc spj spk sa ltd llc inc plc co gmbhco".split())
@@ -255,16 +254,67 @@ def same_person(a: str, b: str) -> bool:
     return True
 
 
-def _keys(text: str) -> list[str]:
-    """What the radius join compares: the longer words of a name, and the name run together."""
-    words = [w.rstrip(".") for w in text.split()]
-    return list(dict.fromkeys([w for w in words if len(w) >= 4] + ["".join(words)]))
+def _keys(text: str, is_person: bool) -> list[tuple[str, str]]:
+    """(kind, key): the words of a name (w), and the name run together in the orders in which it is compared (j)."""
+    words = text.split()
+    if is_person:
+        return list(dict.fromkeys([("w", w) for w in words if len(w) > 2] + [("j", "".join(words))]))
+    runs = (words, sorted(words), sorted(words, key=lambda w: -len(w)))
+    return list(dict.fromkeys([("w", w) for w in words] + [("j", "".join(r).replace(".", "")) for r in runs]))
+
+
+def _reach(kind: str, n: int, is_person: bool) -> int:
+    """The typing mistakes beyond which two keys, the shorter of n letters, make no pair."""
+    if kind == "w":
+        return _most(n)
+    return 2 if is_person else max(n * 2 // 9 if n >= 6 else 0, 3 if n >= 7 else 1)
+
+
+def _signature(s: str) -> int:
+    """64 bits, of which a typing mistake changes two at most: the first and second of each letter, the kinds of other characters."""
+    got, seen = 0, set()
+    for c in s:
+        if "a" <= c <= "z":
+            k = 2 * (ord(c) - 97)
+            got |= 1 << (k + 1 if c in seen else k)
+            seen.add(c)
+        else:
+            got |= 1 << 52 + ord(c) % 12
+    return got
+
+
+def near_keys(left: list[str], right: list[str] | None, kind: str, is_person: bool) -> list[tuple[str, str]]:
+    """All pairs of a key of left and one of right (None: two of left) that make their names candidates. Signatures leave out only what
+    cannot be within reach; abbreviations and damaged words are compared with every word."""
+    odd = lambda k: kind == "w" and not is_person and any(c in k for c in ".-?�")
+
+    def test(x: str, y: str) -> bool:
+        if kind == "w" and not is_person:
+            return _alike(x, y) > 0
+        most = _reach(kind, min(len(x), len(y)), is_person)
+        return typing_distance(x, y, most) <= most
+
+    sides = [left, left if right is None else right]
+    out = [(x, y) for x in sides[0] if odd(x) for y in sides[1] if x != y and test(x, y)]
+    out += [(x, y) for y in sides[1] if odd(y) for x in sides[0] if x != y and test(x, y)]
+    xs, ys = ([k for k in side if not odd(k)] for side in sides)
+    if not xs or not ys:
+        return out
+    sx, sy = (np.array([_signature(k) for k in side], np.uint64) for side in (xs, ys))
+    nx, ny = (np.array([len(k) for k in side]) for side in (xs, ys))
+    most = np.array([_reach(kind, n, is_person) for n in range(max(nx.max(), ny.max()) + 1)])
+    for i, x in enumerate(xs):
+        reach = most[np.minimum(nx[i], ny)]
+        ok = (np.abs(ny - nx[i]) <= reach) & (np.bitwise_count(sy ^ sx[i]) <= 2 * reach)
+        if right is None:
+            ok[: i + 1] = False
+        out += [(x, ys[j]) for j in np.flatnonzero(ok) if x != ys[j] and test(x, ys[j])]
+    return out
 
 
 def _pairs(items: list[tuple[str, str]], person_field: bool) -> list[tuple[int, int, int]]:
     """The pairs of items (name, firm) that name the same, by place in the list, with the level at which they do; an item pairs with
-    itself too. A small block is a
-    single metric cell: every two names in it are compared."""
+    itself too. Every two names of a small block are compared."""
     out = []
     for i, (a, f) in enumerate(items):
         out.append((i, i, STRICT))
@@ -346,8 +396,7 @@ def _row_pairs(block: str, rows: list[tuple]) -> list[tuple[str, int, int]]:
 def linked(at: DataFrame) -> DataFrame:
     """(field_name, source_row_id_a, source_row_id_b): the pairs of rows of one block whose names agree and are not stored as one string.
 
-    Blocks of up to BLOCK_ROWS rows are paired as they stream by; larger ones by the joins of _linked, in metric cells where they hold
-    many names."""
+    Blocks of up to BLOCK_ROWS rows are paired as they stream by; larger ones by the joins of _linked, with the same pairs."""
     sizes = at.groupBy("block").count()
     hot = cut(sizes.where(F.col("count") > BLOCK_ROWS).select("block"))
     some_hot = bool(hot.limit(1).count())
@@ -419,30 +468,51 @@ def _linked(at: DataFrame, field: str) -> DataFrame:
 
 
 def _large(items: DataFrame, is_person: bool, schema: str) -> DataFrame:
-    """The pairs of blocks too large to compare each name with each: candidates share a word within the radius, found in metric cells."""
-    split = map_batches(items.select("block", "name").distinct(), lambda b: {"block": [x for x, n in zip(b["block"], b["name"]) for _ in _keys(n)], "name": [n for n in b["name"] for _ in _keys(n)], "key": [k for n in b["name"] for k in _keys(n)]}, "block string, name string, key string")
-    split = cut(split)
-    parts = cells(split.select("block", "key").distinct(), RADIUS).repartition("block", "cell").sortWithinPartitions("block", "cell")
+    """The pairs of blocks too large to compare each name with each. Candidates hold all that the comparison can accept: names that share
+    a word within its reach or an abbreviation of one, that are alike when run together, or of which one is inside the other."""
+    named = items.select("block", "name").distinct()
+
+    def keys(b):
+        rows = [(x, n, *k) for x, n in zip(b["block"], b["name"]) for k in _keys(n, is_person)]
+        return dict(zip(("block", "name", "kind", "key"), map(list, zip(*rows)) if rows else ([],) * 4))
+
+    split = cut(map_batches(named, keys, "block string, name string, kind string, key string"))
+    # the keys of a block in sides of about so many; every two sides meet in a cell
+    parts = split.select("block", "kind", "key").distinct()
+    sides = parts.groupBy("block", "kind").agg(F.ceil(F.count("*") / (4 * CELL)).alias("sides"))
+    parts = parts.join(sides, ["block", "kind"]).withColumn("side", F.pmod(F.xxhash64("key"), F.col("sides"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sides") - 1)))
+    parts = parts.select("block", "kind", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "key").repartition("block", "kind", "low", "high").sortWithinPartitions("block", "kind", "low", "high")
 
     def run(batches):
-        at_, have = None, []
+        at_, have = None, ([], [])
+
+        def flush():
+            if at_ is None:
+                return []
+            block, kind, low, high = at_
+            return [(block, kind, x, y) for x, y in near_keys(have[0], None if low == high else have[1], kind, is_person)]
+
         for b in batches:
             out = []
-            for bl, c, k, o in zip(b["block"], b["cell"], b["key"], b["owner"]):
-                if (bl, c) != at_:
-                    if at_ is not None:
-                        out += [(at_[0], x, y) for x, y, _ in within(have, RADIUS)]
-                    at_, have = (bl, c), []
-                have.append((k, o))
-            yield dict(zip(("block", "k1", "k2"), map(list, zip(*out)) if out else ([],) * 3))
-        out = [(at_[0], x, y) for x, y, _ in within(have, RADIUS)] if at_ is not None else []
-        yield dict(zip(("block", "k1", "k2"), map(list, zip(*out)) if out else ([],) * 3))
-
-    near = map_partitions(parts, run, "block string, k1 string, k2 string").distinct()
-    same = split.select("block", F.col("key").alias("k1"), F.col("key").alias("k2")).distinct()
-    near = near.union(same)
-    x, y = split.select("block", F.col("key").alias("k1"), F.col("name").alias("n1")), split.select("block", F.col("key").alias("k2"), F.col("name").alias("n2"))
-    candidates = near.join(x, ["block", "k1"]).join(y, ["block", "k2"]).select("block", F.least("n1", "n2").alias("n1"), F.greatest("n1", "n2").alias("n2")).distinct()
+            for *at, side, k in zip(*[b[c] for c in ("block", "kind", "low", "high", "side", "key")]):
+                if at != at_:
+                    out += flush()
+                    at_, have = at, ([], [])
+                have[side != at[2]].append(k)
+            yield dict(zip(("block", "kind", "k1", "k2"), map(list, zip(*out)) if out else ([],) * 4))
+        out = flush()
+        yield dict(zip(("block", "kind", "k1", "k2"), map(list, zip(*out)) if out else ([],) * 4))
+
+    near = map_partitions(parts, run, "block string, kind string, k1 string, k2 string").distinct()
+    near = near.union(split.select("block", "kind", F.col("key").alias("k1"), F.col("key").alias("k2")).distinct())
+    x, y = (split.select("block", "kind", F.col("key").alias(f"k{k}"), F.col("name").alias(f"n{k}")) for k in (1, 2))
+    candidates = near.join(x, ["block", "kind", "k1"]).join(y, ["block", "kind", "k2"]).select("block", "n1", "n2")
+    if not is_person:
+        run_together = named.withColumn("s", F.translate("name", " .", ""))
+        inner = run_together.where("length(s) >= 8").select("block", F.col("name").alias("n1"), F.col("s").alias("s1"), F.substring("s", 1, 8).alias("g"))
+        outer = run_together.where("length(s) >= 8").select("block", F.col("name").alias("n2"), F.col("s").alias("s2"), F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("s") - 7), lambda i: F.substring("s", i, F.lit(8))))).alias("g"))
+        candidates = candidates.union(inner.join(outer, ["block", "g"]).where("n1 <> n2 and contains(s2, s1)").select("block", "n1", "n2"))
+    candidates = candidates.select("block", F.least("n1", "n2").alias("n1"), F.greatest("n1", "n2").alias("n2")).distinct()
     i, j = items.select("block", F.col("name").alias("n1"), F.col("firm").alias("f1")), items.select("block", F.col("name").alias("n2"), F.col("firm").alias("f2"))
     full = candidates.join(i, ["block", "n1"]).join(j, ["block", "n2"]).where("n1 < n2 or f1 <= f2")
 

@@ -80,3 +80,41 @@ def test_large_blocks_give_the_same(spark, monkeypatch):
     assert set(map(tuple, N.variants(d, shared).collect())) == small
     monkeypatch.setattr(N, "CELL", 5)  # and metric cells
     assert small and set(map(tuple, N.variants(d, shared).collect())) == small
+
+
+def test_large_blocks_lose_no_name_that_shares_no_word(spark, monkeypatch):
+    # three mistakes in a word, swapped letters twice, abbreviations, one name inside the other, run together, edits over the whole name
+    names = ["Stegederhof", "Stagadarhof", "Quellhofer", "Qeullhoefr", "Kosmetikstudio", "Kosmetik-St.", "Wolkenbrösel", "Altewolkenbröselstube", "Blumenhaus Grün", "Blumenhausgrün", "Kond. Berg", "Konditorei Berg", "Mondkörnchen", "Mandkirnchan", "Zum Al Fi", "Zumalfi", "Birnbaum", "Tannhain"]
+    people = ["Theresa Stegeder", "Stagadar", "Günther Quellhofer", "Qeullhoefr", "Anna Wolkenbach", "Annawolkenbach", "Jan Li", "J. Li", None]
+    rows = [(k, "Weg 1, 10000 Roslenfeld", "Roslenfeld", n, people[k % len(people)], "+4930111111112", None, None) for k, n in enumerate(names)]
+    d = spark.createDataFrame(rows, "source_row_id long, address string, city string, business_name string, decision_maker_name string, phone_e164 string, website_domain string, duplicate_group_id long")
+    shared = spark.createDataFrame([], "domain string")
+    small = set(map(tuple, N.variants(d, shared).collect()))
+    assert {("business_name", 0, 1), ("business_name", 6, 7)} <= small
+    monkeypatch.setattr(N, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(N, "CELL", 1)
+    assert set(map(tuple, N.variants(d, shared).collect())) == small
+
+
+def test_candidates_hold_all_that_the_comparison_accepts():
+    r = random.Random(3)
+    base = ["stegeder", "konditorei", "cafe", "am", "alt", "kond.", "kosmetik-st.", "kosmetikstudio", "b?ckerei", "backerei", "muhlbach"]
+
+    def typo(w):
+        for _ in range(r.randrange(4) if len(w) > 4 else 0):
+            k = r.randrange(len(w))
+            w = w[:k] + r.choice([w[k + 1 : k + 2] + w[k], "", "x", w[k] + "y"]) + w[k + 2 :]
+        return w
+
+    names = [" ".join(typo(r.choice(base)) for _ in range(r.randrange(1, 4))) for _ in range(200)]
+    for is_person, same in ((False, lambda a, b: N.level_of(a, b) is not None), (True, N.same_person)):
+        found = set()
+        keys = {n: N._keys(n, is_person) for n in names}
+        for kind in "wj":
+            have = sorted({k for v in keys.values() for c, k in v if c == kind})
+            found |= {(kind, x, y) for p in N.near_keys(have, None, kind, is_person) for x, y in (p, p[::-1])}
+        run = lambda n: n.replace(" ", "").replace(".", "")
+        for a in names:
+            for b in names:
+                if a < b and same(a, b):
+                    assert any(c == d and (x == y or (c, x, y) in found) for c, x in keys[a] for d, y in keys[b]) or run(a) in run(b) or run(b) in run(a), (a, b)
