@@ -85,6 +85,15 @@ def key_edges(df: DataFrame, id: str = "source_row_id") -> DataFrame:
     return out
 
 
+def _signature(c: str) -> Column:
+    """Which of the letters a to z a text has once, and which twice or more, as bits."""
+    times = lambda v: F.length(c) - F.length(F.replace(F.col(c), F.lit(v)))
+    made = F.lit(0).cast("long")
+    for k, v in enumerate("abcdefghijklmnopqrstuvwxyz"):
+        made = made + F.when(times(v) > 1, F.lit(3 << 2 * k)).when(times(v) > 0, F.lit(1 << 2 * k)).otherwise(0).cast("long")
+    return made
+
+
 def fuzzy_edges(df: DataFrame, linked: DataFrame, id: str = "source_row_id", block: Column | None = None) -> DataFrame:
     """Edges between a row that no key linked and a later row of alike name and address.
 
@@ -94,11 +103,12 @@ def fuzzy_edges(df: DataFrame, linked: DataFrame, id: str = "source_row_id", blo
     words = F.array_sort(F.split(match_key("business_name"), " "))
     name = F.trim(F.array_join(words, " "))
     rows = df.select(F.col(id).cast("long").alias("i"), name.alias("n"), match_key("address").alias("a"), (block if block is not None else F.lit("")).alias("k")).where("n <> '' and a <> ''")
-    rows = cut(rows.withColumn("l", F.length("n")))
+    # a bit for the first and the second of each letter: one inserted or deleted letter changes one bit at most
+    rows = cut(rows.withColumn("l", F.length("n")).withColumn("s", _signature("n")))
     alone = rows.join(linked.select(F.col("id").alias("i")), "i", "left_anti")
     x = alone.select(*[F.col(c).alias(f"{c}1") for c in rows.columns])
     y = rows.select(*[F.col(c).alias(f"{c}2") for c in rows.columns])
-    close = (F.col("i1") < F.col("i2")) & (11 * F.greatest("l1", "l2") <= 17 * F.least("l1", "l2"))
+    close = (F.col("i1") < F.col("i2")) & (11 * F.greatest("l1", "l2") <= 17 * F.least("l1", "l2")) & (100.0 * F.bit_count(F.col("s1").bitwiseXOR(F.col("s2"))) <= (100.0 - NAME_LEAST) * (F.col("l1") + F.col("l2")) + 1e-6)
     if block is None:
         # equal-size buckets of length and first letters replace a cross product: lengths within the bound share or neighbour a bucket
         step = lambda c: F.floor(F.log(F.col(c).cast("double")) / F.log(F.lit(17 / 11))).cast("int")

@@ -134,19 +134,27 @@ def dedupe_exact(spark, sf):
     return dedupe.groups(d, fuzzy=False).select(F.col("id").alias("source_row_id"), "component")
 
 
-def dedupe_collapse(spark, sf):
-    """One best record per group."""
+def _collapsible(spark, sf):
     d = _usable(_leads(spark, sf), _t(spark, sf, "shared_domains"))
     raw = _src(spark, sf).select("source_row_id", "google_maps_url", "website_raw", "rating", "reviews_count")
-    d = d.drop("duplicate_group_id", "duplicate_count").join(raw.select("source_row_id", "google_maps_url", "website_raw"), "source_row_id").withColumns({"rating": F.col("rating_normalized"), "reviews_count": F.col("reviews_count_normalized")})
-    return dedupe.deduplicate(d, fuzzy=False).select("source_row_id", "duplicate_group_id", "duplicate_count")
+    return d.drop("duplicate_group_id", "duplicate_count").join(raw.select("source_row_id", "google_maps_url", "website_raw"), "source_row_id").withColumns({"rating": F.col("rating_normalized"), "reviews_count": F.col("reviews_count_normalized")})
+
+
+def dedupe_collapse(spark, sf):
+    """One best record per group by equal phone or domain."""
+    return dedupe.deduplicate(_collapsible(spark, sf), fuzzy=False).select("source_row_id", "duplicate_group_id", "duplicate_count")
+
+
+def dedupe_whole(spark, sf):
+    """One best record per group by equal phone or domain, or alike names and addresses."""
+    return dedupe.deduplicate(_collapsible(spark, sf), fuzzy=True).select("source_row_id", "duplicate_group_id", "duplicate_count")
 
 
 def dedupe_fuzzy(spark, sf):
-    """The pairs of alike names and addresses in one town, of rows that no key links."""
-    d = _usable(_leads(spark, sf), _t(spark, sf, "shared_domains")).select("source_row_id", "phone_e164", "website_domain", "business_name", "address", "city")
+    """The pairs of alike names and addresses of a row that no key links and any later row, wherever they are."""
+    d = _usable(_leads(spark, sf), _t(spark, sf, "shared_domains")).select("source_row_id", "phone_e164", "website_domain", "business_name", "address")
     exact = dedupe.key_edges(d)
-    return dedupe.fuzzy_edges(d, exact.select(F.explode(F.array("a", "b")).alias("id")).distinct(), block=F.concat_ws("|", F.lower("city"), F.regexp_extract("address", r"(\d+)", 1)))
+    return dedupe.fuzzy_edges(d, exact.select(F.explode(F.array("a", "b")).alias("id")).distinct())
 
 
 def completeness_scores(spark, sf):

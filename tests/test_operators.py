@@ -161,3 +161,14 @@ def test_report(spark):
     assert [r.s for r in report.top_rows(d, "s", 2, 50).collect()] == [100, 61]
     rules = [("a", F.col("s") > 50, 10), ("b", F.col("s"), 0.5)]
     assert d.where("s = 100").select(report.points(rules, 40), report.breakdown(rules)["b"], report.class_of(F.lit(80), [(75, "hot"), (50, "warm")], "cold")).first() == (40.0, 50.0, "hot")
+
+
+def test_fuzzy_query_needs_no_town_and_no_number(spark, tmp_path):
+    from leadspark.plans import queries
+
+    rows = [("Jaslauville", "Hauptstrasse 7, 10115 Jaslauville"), ("Jaslauvile", "10115 Jaslauville, Hauptstrasse 7"), (None, "Hauptstrasse 7, 10115 Jaslauville")]
+    d = spark.createDataFrame([(k, None, None, "Backerei Schmidt", a, c) for k, (c, a) in enumerate(rows)], "source_row_id long, phone_e164 string, website_domain string, business_name string, address string, city string")
+    d.write.parquet(f"{tmp_path}/cleaned_enriched.parquet")
+    spark.createDataFrame([], "domain string").write.parquet(f"{tmp_path}/shared_domains.parquet")
+    assert {tuple(r) for r in queries.dedupe_fuzzy(spark, str(tmp_path)).collect()} == {(0, 1), (0, 2), (1, 2)}
+    assert "dedupe_whole" in queries.QUERIES
