@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import cut, discard, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
-from .encoding import repaired
+from .encoding import _SUSPECT, repaired
 
 # Names and codes of the countries, folded.
 COUNTRIES = ("deutschland", "germany", "allemagne", "osterreich", "austria", "schweiz", "suisse", "switzerland", "france", "frankreich", "espana", "spain", "spanien", "italia", "italy", "italien", "portugal", "nederland", "netherlands", "niederlande", "polska", "poland", "polen")
@@ -42,7 +42,8 @@ def _unit(u: str) -> str:
 _UNITS = re.compile(r"(?<![\w/])(?:" + "|".join(_unit(u) for u in UNITS) + r")\.?(?![\w/])")
 # the word by which each unit is known, as one pattern that shares beginnings
 _UNIT_WORDS = re.compile(r"(?<![^\W\d_])(?:" + "|".join(f"{c}(?:{'|'.join(sorted({re.escape(w[1:]) for w in ws}))})" for c, ws in sorted({c: {w for u in UNITS for w in [next(x for x in u.split() if x not in "#@*")] if w[0] == c} for c in {next(x for x in u.split() if x not in "#@*")[0] for u in UNITS}}.items())) + r")(?![^\W_])")
-_COUNTRY = re.compile(r"[\s,;|/-]+(?:(" + "|".join(COUNTRIES) + r"|espa[?�]a)|(?:" + _CODES + r"))[\s.,;|/-]*$")
+# two letters behind four digits belong to the postcode
+_COUNTRY = re.compile(r"[\s,;|/-]+(?:(" + "|".join(COUNTRIES) + r"|espa[?�]a)|(?<!\d{4} )(?:" + _CODES + r"))[\s.,;|/-]*$")
 _PREFIX = re.compile(r"(?<!\w)(?:d|f|e|i|p|a|ch|" + _CODES + r")-(?=\d{4,5}(?!\d))")
 _BROKEN_RANGE = re.compile(r"(?<=\d)\s?(?:[�?]+|[\x80-\x9f]+|a[\x80-\x9f]+)\s?(?=\d)")
 _POSTCODES = (
@@ -78,12 +79,6 @@ def _town_like(word: str, town: str) -> bool:
 
 
 _BLANKS = re.compile(r"  +")
-_PLAIN = re.compile(r"([^\W\d_][^\d,;|/\n:?�()–-]{3,40}?)(?<! nr)(?<! nr\.)(?<! no)(?<! no\.),? (\d{1,3}) ?([a-h])?, (\d{5}|\d{4} ?[a-z]{2}|\d{4}-\d{3}|\d{2}-0\d{2}) ([a-z]+)(?:, (?:" + "|".join(COUNTRIES) + "|" + _CODES + r"))?$")
-
-
-_PLAIN_NUMBER_FIRST = re.compile(r"(\d{1,3})([a-h])?,? ([^\W\d_]{2,}\.? [^\W\d_][^\d,;|/\n:?�()–.-]{2,40}), (\d{5}) ([a-z]+)(?:, (?:" + "|".join(COUNTRIES) + "|" + _CODES + r"))?$")
-
-
 @lru_cache(50_000)
 def _home(city: str | None) -> tuple[str, int]:
     """The town's column, folded and in one word, and of how many words."""
@@ -99,12 +94,6 @@ def parse(address: str | None, city: str | None) -> tuple[str, str, str, str] |
         return None
     t = fold.__wrapped__(repaired.__wrapped__(address))
     home, home_words = _home(city)
-    # the plainest form, most often met: street and number, postcode and town
-    if home and (m := _PLAIN.match(t)) and m[5] == home:
-        number = m[2].lstrip("0") + (m[3] or "")
-        return "".join(_WORD.findall(m[1])), number, home, m[4].replace(" ", "").replace("-", "")
-    if home and (m := _PLAIN_NUMBER_FIRST.match(t)) and m[5] == home:
-        return "".join(_WORD.findall(m[3])), m[1].lstrip("0") + (m[2] or ""), home, m[4]
     t = _BLANKS.sub(" ", t.translate(_DASHES))
     for _ in range(2):
         t = _COUNTRY.sub("", t)
@@ -176,15 +165,107 @@ def parse(address: str | None, city: str | None) -> tuple[str, str, str, str] |
                 town, words[x] = "".join(words[x]), []
     if town and not any(words):
         words, town = [[town]], home
-    street = "".join(w for ws in words for w in ws if len(ws) < 12 and not any(w == c for c in COUNTRIES))
+    street = "".join(w for ws in words for w in ws if w not in COUNTRIES)
     return street, number, town or home, code
 
 
+# The plain forms: parts between separators, one of which is street and number in either order, the others postcode, town, both, a unit or
+# a country. Parts but for house numbers are met again and again, so what each says is kept; what is in no plain form goes to parse().
+_BETWEEN = re.compile(r"\s*(?:[,;|\n]|\s[-/]\s)[\s,;|]*")
+_ONE = r"\d{1,3}(?: ?[a-hA-H](?![\w./]))?"
+_HOUSE = rf"{_ONE}(?: ?[-/–] ?{_ONE})?"
+_ROAD = re.compile(rf"(?:(\D{{2,}}?) ?(?<![^\W_])(?:(?i:nr|no|num|numero|n|hausnr|hnr)\b\.? ?)?({_HOUSE})|(?:(?i:nr|no|num|numero|n|hausnr|hnr)\b\.? ?)?({_HOUSE})(?: (\D{{2,}}))?)$")
+_CODE_RANGE = re.compile(r"\d\d[a-h]?-\d{3}")
+_CODE = r"(?:(?:[defipa]|ch|de|fr|es|it|pt|nl|pl|at)-(?=\d{4}))?(\d{5}|\d{4} ?[a-z]{2}(?![a-z])|\d{4}[- ]\d{3}|\d{2}[- ]\d{3})"
+_TOWN = r"([a-z][a-z .'-]*)"
+_WHERE = re.compile(rf"(?:{_CODE}(?: {_TOWN})?|{_TOWN} {_CODE})$")
+_COUNTRY_NAMES = frozenset((*COUNTRIES, *_CODES.split("|")))
+_NUMBER_WORDS = frozenset(("nr", "no", "num", "numero", "n", "hausnr", "hnr"))
+_RANGE = str.maketrans("/–", "--")
+_ORDINAL = re.compile("(?<=[A-Za-z])[ºª]")
+_LEADING = re.compile(r"(?<!\d)0+(?=\d)")
+
+
+@lru_cache(100_000)
+def _said(part: str) -> tuple | None:
+    """What a part without house number says: (kind, code, words, letters); None where it is in no plain form. Kinds: nothing (a unit, or no
+    words), country, code (with words or without), words."""
+    part = _ORDINAL.sub(lambda m: "o" if m[0] == "º" else "a", part)
+    if _SUSPECT.search(part):
+        return None
+    t = _BLANKS.sub(" ", fold.__wrapped__(part).translate(_DASHES)).strip(" .")
+    if t in _COUNTRY_NAMES:
+        return "country", "", 0, ""
+    if _UNIT_WORDS.search(t):
+        t = _UNITS.sub(",", t).strip(" ,.")
+        if t and _UNIT_WORDS.search(t):
+            return None
+    if not t:
+        return "nothing", "", 0, ""
+    code = ""
+    if m := _WHERE.match(t):
+        code, t = m[1] or m[4], m[2] or m[3] or ""
+        if code[2:3] in ("-", " ") and code[3] != "0" and int(code[3:]) - int(code[:2]) <= 12:
+            return None  # a range of house numbers
+    words = _WORD.findall(t)
+    if not code and (not words or any(c.isdigit() for c in t)) or any(w in COUNTRIES for w in words):
+        return None
+    return "code" if code else "words", code.replace(" ", "").replace("-", ""), len(words), "".join(words)
+
+
+def plain_form(address: str, city: str | None) -> tuple[str, str, str, str] | None:
+    """What parse() makes of an address in a plain form; None where only parse() can tell."""
+    house = code = town = street = ""
+    towns = last = first = 0
+    loose: list[tuple] = []
+    for part in _BETWEEN.split(_BLANKS.sub(" ", address).strip()):
+        m = _ROAD.match(part)
+        if m and not _CODE_RANGE.match(number := (m[2] or m[3]).replace(" ", "").translate(_RANGE).lower()):
+            if house:
+                return None
+            house = _LEADING.sub("", number)
+            if road := m[1] or m[4]:
+                said = _said(road)
+                if said is None or said[0] != "words" or said[3] in _NUMBER_WORDS:
+                    return None
+                street, first = said[3], bool(m[1])
+            said = ("road",)
+        else:
+            said = _said(part)
+            if said is None:
+                return None
+            if said[0] == "code":
+                if code:
+                    return None
+                code, towns, town = said[1:]
+            elif said[0] == "words":
+                loose.append(said)
+        if last and said[0] != "country":
+            return None  # a country stands at the end
+        last = said[0] == "country"
+    if not house or not code and not loose and not first:
+        return None
+    if not street:  # the number stands alone: the street is the one part of words beside a postcode
+        if not code or len(loose) != 1 or not (towns or city):
+            return None
+        street = loose.pop()[3]
+    if loose:
+        if towns or len(loose) > 1:
+            return None
+        towns, town = loose[0][2:]
+    home, n = _home(city)
+    if home:
+        if home in street or towns and (towns != n or not _town_like(town, home)):
+            return None
+        town = home
+    return street, house, town, code
+
+
 def parsed(df: DataFrame, id: str, address: str, city: str | None, *keep: str) -> DataFrame:
     """The rows of df with a non-missing address: id, the columns of keep, and street, num, town, code. What is kept passes through Python
     as it is, in its Arrow form."""
-    cols = [F.col(id).cast("long").alias("id"), *keep, F.col(address).alias("raw"), (F.col(city) if city else F.lit(None).cast("string")).alias("city")]
-    todo = df.select(*cols).where(~missing("raw"))
+    at = F.col(city) if city else F.lit(None).cast("string")
+    todo = df.where(~missing(address)).select(F.col(id).cast("long").alias("id"), *keep, F.col(address).alias("_raw"), at.alias("_city"))
     n = 1 + len(keep)
     names = ("street", "num", "town", "code")
     schema = T.StructType([*todo.schema.fields[:n], *[T.StructField(k, T.StringType()) for k in names]])
@@ -192,7 +273,7 @@ def parsed(df: DataFrame, id: str, address: str, city: str | None, *keep: str) -
 
     def run(batches):
         for b in batches:
-            got = [parse(a, c) or ("", "", "", "") for a, c in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist())]
+            got = [plain_form(a, c) or parse(a, c) or ("", "", "", "") for a, c in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist())]
             parts = [pa.array(x, pa.string()) for x in zip(*got)] or [pa.array([], pa.string())] * 4
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(b.columns[:n], arrow)] + parts, schema=arrow)
 
@@ -213,6 +294,9 @@ def _towns(rows: DataFrame) -> DataFrame:
     return rows.withColumn("town", F.coalesce("usual", "mended", "town")).drop("usual", "mended", "was", "code")
 
 
+_LOST = re.compile("[?\ufffd]")
+
+
 def _differences(s: str, t: str) -> list[tuple[str, str, str]]:
     """The rewrites (where, x, y) at the start or end that turn s into t, with more and more context; none where they differ inside."""
     p = 0
@@ -288,6 +372,15 @@ def _significant(counts: list[tuple[str, str, str, int]], occurs: dict[tuple[str
     return got
 
 
+def _nearest(s: str, options: list[str], t: str) -> str:
+    """The option with the fewest edits to t (beyond eight all are alike), s rather than others, then the least."""
+    best = (edit_distance(s, t, 8), False, s)
+    for o in options:
+        if o != s and abs(len(o) - len(t)) <= best[0] and (got := (edit_distance(o, t, min(8, best[0])), True, o)) < best:
+            best = got
+    return best[2]
+
+
 def mine(rows: DataFrame) -> tuple[set[tuple[str, str, str]], int]:
     """(rewrites, rounds). Evidence: streets of rows that agree in town and house number and in phone or domain, each against the
     street most of them write. Pairs of a group grow with its spellings, not with its rows. What is sent to the driver are counts of
@@ -313,8 +406,8 @@ def mine(rows: DataFrame) -> tuple[set[tuple[str, str, str]], int]:
                 if s == t or t in (options := r.of(s)) or s in r.of(t):
                     continue
                 # what is left after the rewrites known so far
-                o = min(options, key=lambda o: (edit_distance(o, t, 8), o != s, o)) if now else s
-                for d in _differences(o, t):
+                o = _nearest(s, options, t) if now else s
+                for d in _differences(o, t) if not _LOST.search(s + t) else ():
                     for k, v in zip(("top", "where", "x", "y"), (t, *d)):
                         out[k].append(v)
             return out
@@ -355,7 +448,26 @@ def _limit(n: int) -> int:
     return 1 if n < 8 else 2 if n < 16 else 3
 
 
-letters = lru_cache(200_000)(frozenset)
+_BITS = {c: (1 << 2 * i, 2 << 2 * i) for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")}
+
+
+@lru_cache(200_000)
+def letters(s: str) -> int:
+    """Bits of which an edit changes two at most and a swap none: the first and the second of each letter, the kinds of other characters."""
+    got = 0
+    for c in s:
+        one, two = _BITS.get(c) or (1 << 52 + ord(c) % 12,) * 2
+        got |= two if got & one else one
+    return got
+
+
+@lru_cache(200_000)
+def bigrams(s: str) -> int:
+    """Bits for the pairs of neighbours, of which an edit changes four at most and a swap six."""
+    got = 0
+    for a, b in zip(s, s[1:]):
+        got |= 1 << (27 * ord(a) + ord(b)) % 743
+    return got
 
 
 def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str, str]:
@@ -363,43 +475,46 @@ def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str
 
     A street stands for another if rewrites make them one, or if it is a rare spelling within a few typing mistakes of a frequent one:
     seen in all at most a tenth as often, so that streets which merely resemble each other stay apart. Every rare spelling is compared with
-    every frequent one of about its length."""
+    every frequent one of about its length but for those that its letters or pairs of letters put out of reach."""
     order = sorted(streets, key=lambda x: (-x[2], -x[1], x[0]))
     to: dict[str, str] = {}
     index: dict[str, str] = {}
-    near: dict[int, list[tuple[frozenset, str, str]]] = defaultdict(list)  # by length: none is left out
-    total = {s: g for s, _, g in order}
+    near: dict[int, list[tuple[int, int, int, str, str]]] = {}  # by length and in order of falling counts: none is left out
     rare = max(0.1 * order[0][2], 2)
     for s, _, g in order:
         options = rewrites.of(s)
         hit = next((index[o] for o in options if o in index), None)
-        if hit is None and (g <= rare or "?" in s or "�" in s):
+        damaged = "?" in s or "\ufffd" in s
+        if hit is None and near and (g <= rare or damaged):
             best: tuple[int, int, str] | None = None
             for o in options:
-                if len(o) < len(s):
+                n = len(o)
+                if n < len(s):
                     continue  # abbreviations resemble each other too easily
-                lost = o.count("?") + o.count("�")
-                mine, far = letters(o), _limit(len(o)) + lost
-                for common, c, spelling in [x for n in range(len(o) - far, len(o) + far + 1) for x in near.get(n, ())]:
-                    gc = total[c]
-                    if not (g <= max(0.1 * gc, 2 if len(s) >= 10 else 1) and g <= gc or lost):
-                        continue
-                    most = _limit(min(len(o), len(spelling))) + lost
-                    if best:
-                        most = min(most, best[0])
-                    # every mistake changes at most two members of the set of letters
-                    if len(mine ^ common) > 2 * most:
+                lost = o.count("?") + o.count("\ufffd") if damaged else 0
+                floor = 0 if lost else 10 * g if g > (2 if len(s) >= 10 else 1) else g
+                reach, mine, pairs = _limit(n), letters(o), bigrams(o)
+                for m in range(n - reach - lost, n + reach + lost + 1):
+                    here = near.get(m)
+                    if not here:
                         continue
-                    d = typing_distance(o, spelling, most)
-                    if d <= most and (best is None or (d, -gc, c) < best):
-                        best = (d, -gc, c)
+                    most = (reach if m >= n else _limit(m)) + lost
+                    if best and best[0] < most:
+                        most = best[0]
+                    for gc, common, two, c, spelling in here:
+                        if gc < floor:
+                            break
+                        if (mine ^ common).bit_count() <= 2 * most and (pairs ^ two).bit_count() <= 6 * most:
+                            d = typing_distance(o, spelling, most)
+                            if d <= most and (best is None or (d, -gc, c) < best):
+                                best, most = (d, -gc, c), d
             if best:
                 hit = to[best[2]]
         to[s] = hit = hit or s
         for o in options:
             index.setdefault(o, hit)
             if (hit == s or g > 2) and len(o) >= len(s):
-                near[len(o)].append((letters(o), s, o))
+                near.setdefault(len(o), []).append((g, letters(o), bigrams(o), s, o))
     return to
 
 
@@ -422,7 +537,8 @@ def places(df: DataFrame, id: str, address: str, city: str | None, phone: str |
     # rows delivered again are no further evidence of a spelling
     seen = rows.where("num <> '' and street <> '' and town <> ''").groupBy("town", "num", "street").agg(F.count_distinct("raw_hash").alias("n"))
     overall = seen.groupBy("street").agg(F.sum("n").alias("g"))
-    groups = seen.join(overall, "street").repartition("town", "num").sortWithinPartitions("town", "num")
+    several = F.count("*").over(W.partitionBy("town", "num")) > 1
+    groups = seen.join(overall, "street").withColumn("several", several).where("several").drop("several")
 
     def run(batches):
         r, at, have = Rewrites(set(shared.value)), None, []

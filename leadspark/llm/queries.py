@@ -19,8 +19,8 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_rewrites(spark: SparkSession, sf: str) -> DataFrame:
-    """The abbreviations and spellings mined from the leads' addresses."""
-    leads = table(spark, sf, "cleaned_enriched").select("source_row_id", "address", "city", usable_phone("phone_e164").alias("phone"), usable_domain("website_domain").alias("domain"))
+    """The abbreviations and spellings mined from the leads' addresses: those that p1_found applies."""
+    leads = table(spark, sf, "cleaned_enriched").where("duplicate_group_id is null").select("source_row_id", "address", "city", usable_phone("phone_e164").alias("phone"), usable_domain("website_domain").alias("domain"))
     rows = cut(addresses.parsed(leads, "source_row_id", "address", "city", "phone", "domain"))
     known, _ = addresses.mine(addresses._towns(rows))
     return spark.createDataFrame(sorted(known), "place string, written string, meant string")

@@ -24,6 +24,18 @@ def test_parse_of_nothing_and_of_anything(address):
     assert got is None or len(got) == 4
 
 
+@pytest.mark.parametrize("address, city", [
+    ("Weg 5, 10000 Roslenfeld", None), ("10000 Roslenfeld, Weg 5", "Roslenfeld"), ("5 rue Nova, 10000 Roslenfeld, FR", "Roslenfeld"), ("Via Tre, 17, 10000 Roslenfeld", "Roslenfeld"), ("Weg 5, 1005 AT, NL", None), ("1. Stock links; Weg 012 b; Roslenfeld", "Roslenfled"),
+    ("Weg 43–45, 10-006 Stadt", "Stadt"), ("Pº Nova 3, Stadt", None), ("PÂº Nova 3, Stadt", None), ("17 rue Nova Stadt", None), ("72  D Iepenweg, 1157 AP Stadt", None), ("Stadt, 61-163, 10-006", None), ("c/o Weber, Weg 5, Stadt", "Stadt"), ("HÃªtreweg 5, Stadt", None),
+])
+def test_the_plain_form_says_what_parse_says(address, city):
+    assert A.plain_form(address, city) in (None, A.parse(address, city))
+
+
+def test_streets_of_many_words_are_read_whole():
+    assert A.parse(" ".join(f"w{chr(97 + k)}" for k in range(15)) + " 5, 10000 Stadt", None)[0] == "".join(f"w{chr(97 + k)}" for k in range(15))
+
+
 def leads(spark, rows):
     return spark.createDataFrame([(k, a, "Roslenfeld", p, None, None, "x") for k, (a, p) in enumerate(rows)], "source_row_id long, address string, city string, phone_e164 string, website_domain string, duplicate_group_id long, town string")
 
