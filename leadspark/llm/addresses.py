@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut, discard, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
+from .common import cut, discard, edit_distance, fold, is_missing, letters, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
 from .encoding import _SUSPECT, repaired
 
 # Names and codes of the countries, folded.
@@ -448,19 +448,6 @@ def _limit(n: int) -> int:
     return 1 if n < 8 else 2 if n < 16 else 3
 
 
-_BITS = {c: (1 << 2 * i, 2 << 2 * i) for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")}
-
-
-@lru_cache(200_000)
-def letters(s: str) -> int:
-    """Bits of which an edit changes two at most and a swap none: the first and the second of each letter, the kinds of other characters."""
-    got = 0
-    for c in s:
-        one, two = _BITS.get(c) or (1 << 52 + ord(c) % 12,) * 2
-        got |= two if got & one else one
-    return got
-
-
 @lru_cache(200_000)
 def bigrams(s: str) -> int:
     """Bits for the pairs of neighbours, of which an edit changes four at most and a swap six."""

@@ -120,28 +120,62 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return score
 
 
+_BITS = {c: (1 << 2 * i, 2 << 2 * i) for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")}
+
+
+@lru_cache(200_000)
+def letters(s: str) -> int:
+    """Bits of which an edit changes two at most and a swap none: the first and the second of each letter, the kinds of other characters."""
+    got = 0
+    for c in s:
+        one, two = _BITS.get(c) or (1 << 52 + ord(c) % 12,) * 2
+        got |= two if got & one else one
+    return got
+
+
 def typing_distance(a: str, b: str, most: int) -> int:
-    """As edit_distance, but two neighbours typed in the wrong order are one mistake."""
-    d = edit_distance(a, b, 2 * most)
-    if d < 2 or d > 2 * most:
-        return min(d, most + 1)
-    i = 0
-    while i < len(a) and i < len(b) and a[i] == b[i]:
+    """As edit_distance, but two neighbours typed in the wrong order are one mistake (optimal string alignment). What their letters put out
+    of reach is left at once; the rest by Hyyrö's bit-parallel recurrence between the common beginning and end."""
+    if a == b:
+        return 0
+    n, m = len(a), len(b)
+    if abs(n - m) > most or (letters(a) ^ letters(b)).bit_count() > 2 * most:
+        return most + 1
+    i, k = 0, min(n, m)
+    while i < k and a[i] == b[i]:
         i += 1
-    j = 0
-    while j < len(a) - i and j < len(b) - i and a[-1 - j] == b[-1 - j]:
+    j, k = 0, k - i
+    while j < k and a[n - 1 - j] == b[m - 1 - j]:
         j += 1
-    a, b = a[i : len(a) - j], b[i : len(b) - j]
-    before, last = [], list(range(len(b) + 1))
-    for x, c in enumerate(a, 1):
-        now = [x]
-        for y, e in enumerate(b, 1):
-            v = min(last[y] + 1, now[y - 1] + 1, last[y - 1] + (c != e))
-            if x > 1 and y > 1 and c == b[y - 2] and a[x - 2] == e:
-                v = min(v, before[y - 2] + 1)
-            now.append(v)
-        before, last = last, now
-    return min(last[-1], most + 1)
+    a, b = a[i : n - j], b[i : m - j]
+    n, m = len(a), len(b)
+    if not n or not m:
+        return n + m
+    if n == m == 1 or n == m == 2 and a[0] == b[1] and a[1] == b[0]:
+        return 1
+    if most < 2 or n < 3 and m < 3:
+        return min(2, most + 1)
+    peq: dict[str, int] = {}
+    for i, c in enumerate(a):
+        peq[c] = peq.get(c, 0) | 1 << i
+    mask, last = (1 << n) - 1, 1 << (n - 1)
+    pv, mv, d0, eq, score, left = mask, 0, 0, 0, n, m
+    for c in b:
+        before, eq = eq, peq.get(c, 0)
+        d0 = ((~d0 & eq) << 1 & before | ((eq & pv) + pv ^ pv) | eq | mv) & mask
+        ph = mv | ~(d0 | pv) & mask
+        mh = d0 & pv
+        if ph & last:
+            score += 1
+        elif mh & last:
+            score -= 1
+        left -= 1
+        if score - left > most:
+            return most + 1
+        ph = (ph << 1 | 1) & mask
+        pv = (mh << 1 | ~(d0 | ph)) & mask
+        mv = d0 & ph
+    return min(score, most + 1)
 
 
 def segment_keys(s: str, most: int) -> list[str]:

@@ -15,9 +15,10 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from . import addresses
-from .common import cut, discard, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
+from .common import cut, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
 from .encoding import repaired
 from .metric import CELL
 
@@ -128,19 +129,25 @@ def _subsequence(s: str, t: str) -> bool:
     return all(c in it for c in s)
 
 
+@lru_cache(100_000)
+def _forms(name: str) -> tuple[list[str], str, str]:
+    """A name's words, the name run together, and its words run together in order."""
+    words = name.split()
+    return words, name.replace(" ", "").replace(".", ""), "".join(sorted(words)).replace(".", "")
+
+
 @lru_cache(200_000)
 def same_organisation(a: str, b: str, level: int = LOOSE) -> bool:
     """Whether two firms' names, as organisation() gives them, may be one firm's: every word of one has a counterpart in the other."""
     if a == b:
         return True
-    a, b = sorted((a, b))  # the same answer either way
-    p, q = a.split(), b.split()
-    ja, jb = a.replace(" ", "").replace(".", ""), b.replace(" ", "").replace(".", "")
+    if b < a:  # the same answer either way
+        a, b = b, a
+    (p, ja, sa), (q, jb, sb) = _forms(a), _forms(b)
     n = min(len(ja), len(jb))
     most = (n // 12, min(2, n // 9), n * 2 // 9)[level] if n >= 6 else 0
-    for x, y in ((ja, jb), ("".join(sorted(p)).replace(".", ""), "".join(sorted(q)).replace(".", ""))):
-        if most and abs(len(x) - len(y)) <= most and typing_distance(x, y, most) <= most:
-            return True
+    if most and abs(len(ja) - len(jb)) <= most and (typing_distance(ja, jb, most) <= most or typing_distance(sa, sb, most) <= most):
+        return True
     if len(p) > len(q):
         p, q, ja, jb = q, p, jb, ja
     left, strong, lone = list(q), 0, []
@@ -175,8 +182,10 @@ def same_organisation(a: str, b: str, level: int = LOOSE) -> bool:
 
 @lru_cache(200_000)
 def level_of(a: str, b: str) -> int | None:
-    """The strictest level at which two firms' names agree; None if they do at none."""
-    return next((k for k in (STRICT, PLAIN, LOOSE) if same_organisation(a, b, k)), None)
+    """The strictest level at which two firms' names agree; None if they do at none. What agrees at one level does so at looser ones."""
+    if not same_organisation(a, b, LOOSE):
+        return None
+    return next((k for k in (STRICT, PLAIN) if same_organisation(a, b, k)), LOOSE)
 
 
 def allowed(phones: tuple, domains: tuple) -> int:
@@ -328,31 +337,41 @@ def _pairs(items: list[tuple[str, str]], person_field: bool) -> list[tuple[int,
     return out
 
 
-def _named(df: DataFrame) -> DataFrame:
-    """Leads with their names in comparable form: id, block columns, org, org_hash, who, who_hash."""
+_COLUMNS = ("id", "placed", "business_name", "decision_maker_name", "city", "town", "p", "d")
 
-    def run(b):
-        out = {k: b[k] for k in ("id", "town", "num", "street", "phone", "domain")}
-        org = [organisation(n, c) if n is not None else "" for n, c in zip(b["business_name"], b["city"])]
-        who = [person(n) if n is not None else "" for n in b["decision_maker_name"]]
-        return out | {"org": org, "who": who, "org_hash": [hash_(n) for n in b["business_name"]], "who_hash": [hash_(n) for n in b["decision_maker_name"]], "home": ["" if is_missing(c) else fold(repaired(c)) for c in b["city"]]}
 
+def _read(rows: list[tuple]) -> list[tuple]:
+    """Rows of _COLUMNS with their names in comparable form: (id, placed, org, who, org as stored, who as stored, home, p, d)."""
+    out = []
+    for i, placed, org, who, city, town, p, d in rows:
+        home = "" if is_missing(city) else fold(repaired(city))
+        out.append((i, placed, organisation(org, city) if org is not None else "", person(who) if who is not None else "", org, who, home or town, p, d))
+    return out
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """Rows of blocks with their names in comparable form: block, id, placed, org, who, org_hash, who_hash, home, p, d."""
     import xxhash
 
     def hash_(s):
         return 0 if s is None else xxhash.xxh3_64_intdigest(s) - 2**63
 
-    return map_batches(df, run, "id long, town string, num string, street string, phone string, domain string, org string, who string, org_hash long, who_hash long, home string")
+    def run(b):
+        rows = _read(list(zip(*[b[c] for c in _COLUMNS])))
+        got = dict(zip(("id", "placed", "org", "who", "org_hash", "who_hash", "home", "p", "d"), map(list, zip(*rows))))
+        return got | {"block": b["block"], "org_hash": [hash_(n) for n in got["org_hash"]], "who_hash": [hash_(n) for n in got["who_hash"]]}
+
+    return map_batches(df, run, "block string, id long, placed boolean, org string, who string, org_hash long, who_hash long, home string, p long, d long")
 
 
-def blocks(named: DataFrame) -> DataFrame:
-    """(block, id, placed, org, who, org_hash, who_hash, p, d, home): each lead in the block of its place; and in those of its phone and its
-    domain, if the block has a lead without a place."""
+def blocks(full: DataFrame) -> DataFrame:
+    """(block, *_COLUMNS): each lead in the block of its place; and in those of its phone and its domain, if the block has a lead without a
+    place."""
     placed = (F.col("num") != "") & (F.col("street") != "") & (F.col("town") != "")
-    rest = ["id", placed.alias("placed"), "org", "who", "org_hash", "who_hash", F.when(F.col("phone").isNotNull(), F.xxhash64("phone")).alias("p"), F.when(F.col("domain").isNotNull(), F.xxhash64("domain")).alias("d"), F.when(F.col("home") == "", F.col("town")).otherwise(F.col("home")).alias("home")]
-    at = named.where(placed).select(F.concat_ws("|", F.lit("a"), "town", "num", "street").alias("block"), *rest)
+    rest = ["id", placed.alias("placed"), "business_name", "decision_maker_name", "city", "town", F.when(F.col("phone").isNotNull(), F.xxhash64("phone")).alias("p"), F.when(F.col("domain").isNotNull(), F.xxhash64("domain")).alias("d")]
+    at = full.where(placed).select(F.concat_ws("|", F.lit("a"), "town", "num", "street").alias("block"), *rest)
     for k in ("phone", "domain"):
-        keyed = named.where(F.col(k).isNotNull()).select(F.concat(F.lit(k[0]), F.col(k)).alias("block"), *rest)
+        keyed = full.where(F.col(k).isNotNull()).select(F.concat(F.lit(k[0]), F.col(k)).alias("block"), *rest)
         open_ = keyed.where("not placed").select("block").distinct()
         at = at.union(keyed.join(open_, "block", "left_semi"))
     return at
@@ -372,8 +391,15 @@ def _apart(x: tuple, y: tuple, placed_block: bool) -> bool:
     return px and py or bool(hx and hy and hx != hy and edit_distance(hx, hy, 2) > 2)
 
 
+def _agree(a: tuple[str, str], b: tuple[str, str], person_field: bool, level: int) -> bool:
+    """Whether two items (name, firm) may name the same where their rows allow this level."""
+    if not person_field:
+        return same_organisation(a[0], b[0], level)
+    return same_person(a[0], b[0]) and (not a[1] or not b[1] or same_organisation(a[1], b[1]) or _in_full(a[0], b[0]))
+
+
 def _row_pairs(block: str, rows: list[tuple]) -> list[tuple[str, int, int]]:
-    """The links of a block's rows (id, placed, org, who, org_hash, who_hash, home, p, d); p and d stand for phone and domain."""
+    """The links of a block's rows (id, placed, org, who, org as stored, who as stored, home, p, d); p and d stand for phone and domain."""
     out, at = [], block[0] == "a"
     for field, name, stored in (("business_name", 2, 4), ("decision_maker_name", 3, 5)):
         person_field = name == 3
@@ -381,15 +407,19 @@ def _row_pairs(block: str, rows: list[tuple]) -> list[tuple[str, int, int]]:
         for r in rows:
             if r[name]:
                 by_item[(r[name], r[2] if person_field else "")].append(r)
-        if len(by_item) < 2 and all(len({r[stored] for r in v}) < 2 for v in by_item.values()):
-            continue
         items = list(by_item)
-        for i, j, level in _pairs(items, person_field):
-            xs, ys = by_item[items[i]], by_item[items[j]]
-            for x in xs:
-                for y in ys:
-                    if x[stored] != y[stored] and (i != j or x[0] < y[0]) and x[0] != y[0] and level <= allowed((x[7], y[7]), (x[8], y[8])) and not _apart((x[1], x[6]), (y[1], y[6]), at):
-                        out.append((field, min(x[0], y[0]), max(x[0], y[0])))
+        for i, a in enumerate(items):
+            for j in range(i + 1):
+                b, known = items[j], {}
+                for x in by_item[a]:
+                    for y in by_item[b]:
+                        if x[stored] == y[stored] or x[0] == y[0] or i == j and x[0] > y[0] or _apart((x[1], x[6]), (y[1], y[6]), at):
+                            continue
+                        level = STRICT if person_field else allowed((x[7], y[7]), (x[8], y[8]))
+                        if level not in known:
+                            known[level] = i == j or _agree(a, b, person_field, level)
+                        if known[level]:
+                            out.append((field, min(x[0], y[0]), max(x[0], y[0])))
     return out
 
 
@@ -397,30 +427,29 @@ def linked(at: DataFrame) -> DataFrame:
     """(field_name, source_row_id_a, source_row_id_b): the pairs of rows of one block whose names agree and are not stored as one string.
 
     Blocks of up to BLOCK_ROWS rows are paired as they stream by; larger ones by the joins of _linked, with the same pairs."""
-    sizes = at.groupBy("block").count()
-    hot = cut(sizes.where(F.col("count") > BLOCK_ROWS).select("block"))
+    hot = cut(at.groupBy("block").count().where(F.col("count") > BLOCK_ROWS).select("block"))
     some_hot = bool(hot.limit(1).count())
-    cool = at.join(sizes.where((F.col("count") > 1) & (F.col("count") <= BLOCK_ROWS)).select("block"), "block", "left_semi") if some_hot else at
-    columns = ("id", "placed", "org", "who", "org_hash", "who_hash", "home", "p", "d")
-    streamed = cool.select("block", *columns).repartition("block").sortWithinPartitions("block")
+    cool = at.join(hot, "block", "left_anti") if some_hot else at
+    # blocks of one row stay in the JVM; a block here has BLOCK_ROWS rows at most
+    streamed = cool.select("block", *_COLUMNS, (F.count("*").over(W.partitionBy("block")) > 1).alias("several")).where("several").drop("several")
 
     def run(batches):
         block, rows = None, []
         for b in batches:
             out: list = []
-            for bl, *r in zip(b["block"], *[b[c] for c in columns]):
+            for bl, *r in zip(b["block"], *[b[c] for c in _COLUMNS]):
                 if bl != block:
                     if len(rows) > 1:
-                        out += _row_pairs(block, rows)
+                        out += _row_pairs(block, _read(rows))
                     block, rows = bl, []
                 rows.append(tuple(r))
             yield dict(zip(("field_name", "source_row_id_a", "source_row_id_b"), map(list, zip(*out)) if out else ([],) * 3))
-        out = _row_pairs(block, rows) if len(rows) > 1 else []
+        out = _row_pairs(block, _read(rows)) if len(rows) > 1 else []
         yield dict(zip(("field_name", "source_row_id_a", "source_row_id_b"), map(list, zip(*out)) if out else ([],) * 3))
 
     got = map_partitions(streamed, run, _LINKS)
     if some_hot:
-        large = cut(at.join(hot, "block", "left_semi"))
+        large = cut(_named(at.join(hot, "block", "left_semi")))
         for field in ("business_name", "decision_maker_name"):
             got = got.union(_linked(large, field).select(F.lit(field).alias("field_name"), "*"))
     return got.distinct()
@@ -548,7 +577,4 @@ def variants(leads: DataFrame, shared: DataFrame) -> DataFrame:
     base = base.join(domains.withColumn("is_shared", F.lit(True)), "domain", "left").withColumn("domain", F.when(F.col("is_shared").isNull(), F.col("domain"))).drop("is_shared")
     base = base.where(~(missing("business_name") & missing("decision_maker_name"))).withColumn("id", F.col("source_row_id").cast("long")).drop("source_row_id", "address")
     full = base.join(at, "id", "left").fillna("", ["town", "num", "street"])
-    named = cut(_named(full))
-    at = cut(blocks(named))
-    discard(named)
-    return linked(at)
+    return linked(cut(blocks(full)))
