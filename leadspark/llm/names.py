@@ -182,10 +182,8 @@ def same_organisation(a: str, b: str, level: int = LOOSE) -> bool:
 
 @lru_cache(200_000)
 def level_of(a: str, b: str) -> int | None:
-    """The strictest level at which two firms' names agree; None if they do at none. What agrees at one level does so at looser ones."""
-    if not same_organisation(a, b, LOOSE):
-        return None
-    return next((k for k in (STRICT, PLAIN) if same_organisation(a, b, k)), LOOSE)
+    """The strictest level at which two firms' names agree; None if they do at none."""
+    return next((k for k in (STRICT, PLAIN, LOOSE) if same_organisation(a, b, k)), None)
 
 
 def allowed(phones: tuple, domains: tuple) -> int:
@@ -392,9 +390,10 @@ def _apart(x: tuple, y: tuple, placed_block: bool) -> bool:
 
 
 def _agree(a: tuple[str, str], b: tuple[str, str], person_field: bool, level: int) -> bool:
-    """Whether two items (name, firm) may name the same where their rows allow this level."""
+    """Whether two items (name, firm) may name the same where their rows allow this level (a stricter one is tried too: the words may pair
+    otherwise there)."""
     if not person_field:
-        return same_organisation(a[0], b[0], level)
+        return any(same_organisation(a[0], b[0], k) for k in range(level, STRICT - 1, -1))
     return same_person(a[0], b[0]) and (not a[1] or not b[1] or same_organisation(a[1], b[1]) or _in_full(a[0], b[0]))
 
 
@@ -572,9 +571,12 @@ def variants(leads: DataFrame, shared: DataFrame) -> DataFrame:
     of their name but not with each other; an empty table gives no row."""
     leads = leads.where("duplicate_group_id is null")
     domains = shared.select(F.lower(F.trim("domain")).alias("domain")).distinct()
-    base = leads.select("source_row_id", "address", "city", "business_name", "decision_maker_name", usable_phone("phone_e164").alias("phone"), usable_domain("website_domain").alias("domain"))
-    at = addresses.places(base, "source_row_id", "address", "city", "phone", "domain").select("id", "town", "num", "street")
-    base = base.join(domains.withColumn("is_shared", F.lit(True)), "domain", "left").withColumn("domain", F.when(F.col("is_shared").isNull(), F.col("domain"))).drop("is_shared")
-    base = base.where(~(missing("business_name") & missing("decision_maker_name"))).withColumn("id", F.col("source_row_id").cast("long")).drop("source_row_id", "address")
-    full = base.join(at, "id", "left").fillna("", ["town", "num", "street"])
+    named = leads.where(~(missing("business_name") & missing("decision_maker_name")))
+    base = named.select("source_row_id", "address", "city", "business_name", "decision_maker_name", usable_phone("phone_e164").alias("phone"), usable_domain("website_domain").alias("domain"))
+    base = base.join(domains.withColumn("is_shared", F.lit(True)), "domain", "left")
+    kept = {"k_org": "business_name", "k_who": "decision_maker_name", "k_city": "city", "k_phone": "phone", "k_domain": "domain"}
+    base = base.select("source_row_id", "address", "city", "phone", "domain", *[F.col(c).alias(k) for k, c in kept.items() if c != "domain"], F.when(F.col("is_shared").isNull(), F.col("domain")).alias("k_domain"))
+    at = addresses.places(base, "source_row_id", "address", "city", "phone", "domain", *kept).select("id", "town", "num", "street", *kept)
+    none = base.where(missing("address")).select(F.col("source_row_id").cast("long"), *[F.lit("")] * 3, *kept)
+    full = cut(at.union(none).select("id", "town", "num", "street", *[F.col(k).alias(c) for k, c in kept.items()]))
     return linked(cut(blocks(full)))
