@@ -117,8 +117,11 @@ def records(leads: DataFrame, orgs: DataFrame, shared: DataFrame) -> DataFrame:
     )
     domains = shared.select(F.lower(F.trim("domain")).alias("host")).distinct()
     both = both.join(domains.withColumn("is_shared", F.lit(True)), "host", "left").withColumn("host", F.when(F.col("is_shared").isNull(), F.col("host"))).drop("is_shared")
-    at = addresses.places(both, "id", "address", "city", "phone", "host").select("id", "town", "num", "street")
-    full = both.drop("address").join(at, "id", "left").fillna("", ["town", "num", "street"])
+    kept = {"k_org": "is_org", "k_name": "name", "k_city": "city", "k_phone": "phone", "k_host": "host"}
+    both = both.select("id", "address", "city", "phone", "host", *[F.col(c).alias(k) for k, c in kept.items()])
+    at = addresses.places(both, "id", "address", "city", "phone", "host", *kept).select("id", "town", "num", "street", *kept)
+    none = both.where(missing("address")).select("id", *[F.lit("")] * 3, *kept)
+    full = at.union(none).select("id", "town", "num", "street", *[F.col(k).alias(c) for k, c in kept.items()])
     full = full.withColumn("place", F.when((F.col("num") != "") & (F.col("street") != "") & (F.col("town") != ""), F.concat_ws("|", "town", "num", "street")).otherwise(""))
     return full.select("id", "is_org", F.when(~missing("name"), F.col("name")).alias("name"), "city", "town", "place", "phone", "host")
 
