@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import re
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,6 +35,11 @@ def first_filled(*cs: Column | str) -> Column:
     return F.coalesce(*[filled(c) for c in cs], F.lit(""))
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is made once, however often f names it (a column used in many places is else written out in each)."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def strip_suffix(c: Column | str) -> Column:
     """A display name without the legal form at its end (one, the longest)."""
     return F.trim(F.regexp_replace(col(c), rf"(?iu) (?:{quoted(SUFFIXES)})$", ""))

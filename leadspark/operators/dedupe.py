@@ -148,7 +148,7 @@ def groups(df: DataFrame, id: str = "source_row_id", fuzzy: bool = True, block:
 
 
 def deduplicate(df: DataFrame, id: str = "source_row_id", fuzzy: bool = True, block: Column | None = None) -> DataFrame:
-    """The best record of each group, in the order of ids, with duplicate_group_id (1, 2, ... by the groups' smallest ids; null for
+    """The best record of each group, in any order (sort by id where the order matters), with duplicate_group_id (1, 2, ... by the groups' smallest ids; null for
     rows without duplicates) and duplicate_count. The best is chosen by aggregation, so that no group is sorted or gathered."""
     member = df.withColumn("_m", merit()).join(groups(df, id, fuzzy, block).withColumnRenamed("id", id), id)
     best = member.groupBy("component").agg(F.min_by(F.col(id), F.struct((-F.col("_m")).alias("m"), F.col(id))).alias(id), F.count("*").cast("int").alias("duplicate_count"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import email_pattern, emails_in
-from ..functions.text import col
+from ..functions.text import col, let
 from ..vocab import FOUNDED, LANGUAGE_WORDS, LEGAL_ROUTES, PLATFORMS, ROUTES, TITLE_CUTS
 
 _ENTITIES = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&copy;": "©", "&uuml;": "ü", "&ouml;": "ö", "&auml;": "ä", "&Uuml;": "Ü", "&Ouml;": "Ö", "&Auml;": "Ä", "&szlig;": "ß", "&eacute;": "é", "&egrave;": "è", "&agrave;": "à", "&ccedil;": "ç", "&ndash;": "–", "&mdash;": "—"}
@@ -69,20 +69,26 @@ def language(html: Column | str) -> Column:
     short = lambda c: F.when(F.length(F.substring_index(F.upper(c), "-", 1)) == 2, F.substring_index(F.upper(c), "-", 1))
     own = short(F.regexp_extract(h, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1))
     head = short(F.coalesce(_meta(h, "http-equiv", "content-language")[1], F.lit("")))
-    text = F.lower(page_text(h, newlines=False))
-    out = F
-    for code, words in LANGUAGE_WORDS.items():
-        out = out.when(F.size(F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(text, w))) >= 2, F.lit(code))
-    letters = F.length(F.regexp_replace(text, "[^äöüß]", ""))
-    return F.coalesce(own, head, out.when(letters > 10, "DE"))
+
+    def by_words(text: Column) -> Column:
+        out = F
+        for code, words in LANGUAGE_WORDS.items():
+            out = out.when(F.size(F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(text, w))) >= 2, F.lit(code))
+        return out.when(F.length(F.regexp_replace(text, "[^äöüß]", "")) > 10, "DE")
+
+    return F.coalesce(own, head, let(F.lower(page_text(h, newlines=False)), by_words))
 
 
 def business_age(html: Column | str, year: int) -> Column:
     """Years since the earliest founding or copyright year on a page, from 1900 to `year`; one at least; null without any."""
-    t = page_text(html, newlines=False)
-    found = F.flatten(F.array(*[F.regexp_extract_all(t, F.lit(rf"(?iu){p}(\d{{4}})"), F.lit(1)) for p in FOUNDED], F.regexp_extract_all(t, F.lit(r"(?iu)Od\s+(\d{4})\s+roku"), F.lit(1))))
-    years = F.filter(F.transform(found, lambda y: y.try_cast("int")), lambda y: y.between(1900, year))
-    return F.when(F.size(years) > 0, F.greatest(F.lit(1), F.lit(year) - F.array_min(years)))
+
+    def years(t: Column) -> Column:
+        found = F.flatten(F.array(*[F.regexp_extract_all(t, F.lit(rf"(?iu){p}(\d{{4}})"), F.lit(1)) for p in FOUNDED], F.regexp_extract_all(t, F.lit(r"(?iu)Od\s+(\d{4})\s+roku"), F.lit(1))))
+        return F.array_min(F.filter(F.transform(found, lambda y: y.try_cast("int")), lambda y: y.between(1900, year)))
+
+    # a text without four figures in a row has no year
+    first = let(page_text(html, newlines=False), lambda t: F.when(t.rlike(r"\d{4}"), years(t)))
+    return let(first, lambda y: F.greatest(F.when(y.isNotNull(), F.lit(1)), F.lit(year) - y))
 
 
 _UP, _LOW = r"[A-ZÀ-ÖØ-ÞĀ-ž]", r"[a-zà-öø-ÿā-ſ]"
@@ -90,7 +96,10 @@ _UP, _LOW = r"[A-ZÀ-ÖØ-ÞĀ-ž]", r"[a-zà-öø-ÿā-ſ]"
 
 def staff_tier(html: Column | str) -> Column:
     """Employees by how many 'Name - Title' a page has, else by how long its text is; null for short pages without any."""
-    t = page_text(html, newlines=False)
+    return let(page_text(html, newlines=False), _staff)
+
+
+def _staff(t: Column) -> Column:
     n = F.size(F.regexp_extract_all(t, F.lit(rf"{_UP}{_LOW}+\s+{_UP}{_LOW}+\s*[-–—]\s*[A-Za-zÀ-ÖØ-öø-ÿĀ-ſ ]+"), F.lit(0)))
     by_name = F.when(n >= 50, "50+").when(n >= 20, "20-50").when(n >= 5, "5-20").when(n >= 2, "2-5").when(n >= 1, "1")
     return F.coalesce(by_name, F.when(F.length(t) > 50000, "20-50").when(F.length(t) > 20000, "5-20").when(F.length(t) > 10000, "2-5"))

@@ -71,7 +71,7 @@ def team_signal(text: Column | str) -> Column:
 
 
 def careers_signal(html: Column | str) -> Column:
-    yes = F.lower(F.coalesce(col(html), F.lit(""))).rlike(r"href\s*=\s*[\"'][^\"']*(?:" + "|".join(CAREERS) + ")")
+    yes = F.lower(F.coalesce(col(html), F.lit(""))).rlike("href=[\"'](?:" + "|".join(CAREERS) + ")")
     return _signal("careers_page", F.when(yes, F.lit(_MID["6-20"])), F.lit("careers_page:link"), F.lit("6-20"))
 
 

@@ -27,12 +27,17 @@ def code_status(code: Column) -> Column:
     return F.when(code == 250, "verified").when(code.between(550, 554), "bounced").when(code == 0, "timeout")
 
 
-def smtp_status(probes: DataFrame) -> DataFrame:
-    """(email, smtp_status): the first decisive reply in the order of hosts; 'error' if none decided; 'catch_all' if an address that
-    cannot exist was accepted by the same domain."""
-    one = probes.select(F.lower(F.trim("email")).alias("email"), "host", "code", code_status(F.col("code")).alias("s"), (F.col("catch_all") if "catch_all" in probes.columns else F.lit(False)).alias("c"))
-    first = one.groupBy("email").agg(F.min(F.when(F.col("s").isNotNull(), F.struct("host", "s"))).alias("f"), F.max("c").alias("c"))
-    return first.select("email", F.when(F.col("c") & (F.col("f.s") == "verified"), "catch_all").otherwise(F.coalesce("f.s", F.lit("error"))).alias("smtp_status"))
+def smtp_status(probes: DataFrame, mx: DataFrame | None = None) -> DataFrame:
+    """(email, smtp_status): the first decisive reply in the order in which the domain's mail hosts are preferred (hosts that mx does not
+    have come after them, by name); 'error' if none decided; 'catch_all' if an address that cannot exist was accepted by the host that decided."""
+    if mx is not None:
+        listed = mx.groupBy(F.lower("domain").alias("_d")).agg(F.max("hosts").alias("hosts")).select("_d", F.posexplode(by_preference(F.col("hosts"))).alias("_at", "_h"))
+        listed = listed.groupBy("_d", F.lower("_h").alias("_h")).agg(F.min("_at").alias("_at"))
+        probes = probes.join(listed, (F.substring_index(F.lower(F.trim("email")), "@", -1) == F.col("_d")) & (F.lower("host") == F.col("_h")), "left")
+    at = F.coalesce(F.col("_at"), F.lit(2**30)) if mx is not None else F.lit(0)
+    one = probes.select(at.alias("at"), F.lower(F.trim("email")).alias("email"), "host", "code", code_status(F.col("code")).alias("s"), (F.col("catch_all") if "catch_all" in probes.columns else F.lit(False)).alias("c"))
+    first = one.groupBy("email").agg(F.min(F.when(F.col("s").isNotNull(), F.struct("at", "host", "s", "c"))).alias("f"))
+    return first.select("email", F.when(F.coalesce(F.col("f.c"), F.lit(False)) & (F.col("f.s") == "verified"), "catch_all").otherwise(F.coalesce("f.s", F.lit("error"))).alias("smtp_status"))
 
 
 def verify(df: DataFrame, mx: DataFrame, probes: DataFrame | None = None, email: str = "email") -> DataFrame:
@@ -44,7 +49,7 @@ def verify(df: DataFrame, mx: DataFrame, probes: DataFrame | None = None, email:
     known = mx.groupBy(F.lower("domain").alias("_d")).agg(F.max("has_mx").alias("has_mx"))
     d = d.join(known, F.col("email_domain") == F.col("_d"), "left").drop("_d")
     if probes is not None:
-        said = smtp_status(probes)
+        said = smtp_status(probes, mx)
         d = d.join(said, d["_e"] == said["email"], "left").drop(said["email"])
     else:
         d = d.withColumn("smtp_status", F.lit(None).cast("string"))

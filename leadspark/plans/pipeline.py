@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import denylisted
 from ..operators import cache, clean, dedupe, enrich, verify
 from ..operators.checkpoint import Checkpoints
 from ..sources import csv as source
@@ -45,6 +46,17 @@ def prepare(spark: SparkSession, folder: str, o: Options) -> DataFrame:
     return clean.filter_categories(d, o.categories)
 
 
+def with_cached(df: DataFrame, table: DataFrame, now) -> DataFrame:
+    """Leads that are not looked up again, with what the cache has of their domains: name, link, number of mails, time, and a provider
+    that says so. Leads of which it has nothing stay as they are."""
+    d = cache.lookup(df, table, "crawl", now)
+    said = lambda k: F.get_json_object("cached_result", f"$.{k}")
+    there = F.col("cached_status") == "success"
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    new = {"enriched_company_name": said("company_name"), "enriched_linkedin_url": said("linkedin_url"), "enriched_emails_found": F.coalesce(said("emails_found").try_cast("int"), F.lit(0)), "enriched_at": said("enriched_at"), "enrichment_provider": F.lit("cached:crawl")}
+    return d.withColumns({k: F.when(there, c.try_cast(kinds[k]) if k in kinds else c).otherwise(F.col(k) if k in kinds else F.lit(None)) for k, c in new.items()}).drop("cached_status", "cached_result")
+
+
 def complete(leads: DataFrame, o: Options, now=None) -> DataFrame:
     """Leads enriched and verified from the lookup tables of the options."""
     spark, now = leads.sparkSession, now if now is not None else F.current_timestamp()
@@ -55,8 +67,11 @@ def complete(leads: DataFrame, o: Options, now=None) -> DataFrame:
         table = cache.of_table(spark.read.parquet(o.cache))
         if o.skip_cached:
             todo = cache.not_cached(d, table, "crawl", now)
-            known = d.join(todo.select("source_row_id"), "source_row_id", "left_anti")
+            known = with_cached(d.join(todo.select("source_row_id"), "source_row_id", "left_anti"), table, now)
     if o.pages:
+        denied = todo.where(F.coalesce(denylisted("website_domain"), F.lit(False)) & (F.coalesce("website_domain", F.lit("")) != ""))  # hosts of many firms: not looked up
+        known = denied if known is None else known.unionByName(denied, allowMissingColumns=True)
+        todo = todo.join(denied.select("source_row_id"), "source_row_id", "left_anti")
         responses = spark.read.parquet(o.responses) if o.responses else None
         todo = clean.with_enrichment_columns(enrich.enrich(todo, spark.read.parquet(o.pages), o.year, responses, o.response_form, 2 if o.quick else o.max_pages))
     d = todo if known is None else todo.unionByName(known, allowMissingColumns=True)

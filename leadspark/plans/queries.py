@@ -45,10 +45,10 @@ def _cache(spark: SparkSession, sf: str) -> DataFrame:
 
 def _usable(d: DataFrame, shared: DataFrame) -> DataFrame:
     """Leads with what links them: phones that are numbers, domains that are host names and not shared."""
-    names = [r[0] for r in shared.select("domain").limit(10_001).collect()]
     phone = F.when(F.col("phone_e164").rlike(r"^\+[0-9]{11,15}$") & ~F.col("phone_e164").rlike("(0{8}|1{8}|9{8})"), F.col("phone_e164"))
-    domain = F.when(F.col("website_domain").contains(".") & ~F.col("website_domain").isin(*names), F.col("website_domain"))
-    return d.withColumns({"phone_e164": phone, "website_domain": domain})
+    d = d.join(shared.select(F.col("domain").alias("_shared")).distinct(), F.col("website_domain") == F.col("_shared"), "left")
+    domain = F.when(F.col("website_domain").contains(".") & F.col("_shared").isNull(), F.col("website_domain"))
+    return d.withColumns({"phone_e164": phone, "website_domain": domain}).drop("_shared")
 
 
 # --- scan, projection, union
@@ -214,6 +214,23 @@ def mail_hosts(spark, sf):
     return _t(spark, sf, "mx_lookup").select("domain", F.array_join(verify.by_preference(F.col("hosts")), ",").alias("hosts"))
 
 
+def mail_preference(spark, sf):
+    """Hosts written with preferences, which the table has not: the order of trial."""
+    d = spark.sql("SELECT * FROM VALUES ('a', array('20 b.x', '5 a.x', 'c.x')), ('b', array('c.x', '10 d.x')), ('c', array()) AS t(domain, hosts)")
+    return d.select("domain", F.array_join(verify.by_preference(F.col("hosts")), ",").alias("hosts"))
+
+
+def verify_mailboxes(spark, sf):
+    """Replies of mailboxes: every mail of the leads whose domain has two hosts or more is answered by them, the less preferred first by name."""
+    mx = _t(spark, sf, "mx_lookup")
+    mx = mx.withColumn("hosts", F.transform("hosts", lambda h, i: F.concat((F.size("hosts") - i).cast("string"), F.lit(" "), h)))
+    leads = _leads(spark, sf).select("source_row_id", "email_raw")
+    asked = leads.select(F.lower(F.trim("email_raw")).alias("email")).distinct().join(mx.select(F.lower("domain").alias("d"), F.posexplode(F.transform("hosts", lambda h: F.regexp_replace(h, r"^\d+ ", ""))).alias("i", "host")), F.substring_index("email", "@", -1) == F.col("d"))
+    n = F.length("email") + F.col("i")
+    probes = asked.select("email", "host", F.element_at(F.array(*map(F.lit, (250, 550, 0, 451, 250))), (n % 5 + 1).cast("int")).alias("code"), (n % 10 == 0).alias("catch_all"))
+    return verify.verify(leads, mx, probes, "email_raw").select("source_row_id", "smtp_status", "verification_status", "verification_confidence")
+
+
 # --- pages
 
 

