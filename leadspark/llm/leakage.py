@@ -2,7 +2,7 @@
 
 Method: rare n-grams of the items (three words that at most two items share, with a name, a figure or another word of few items) are
 seeds; a document that has seeds of an item is aligned with the item's passage, question and answer by Smith-Waterman, stretch by
-stretch. What counts is the part of the passage held, and only where its names and figures agree too: the same sentence about others
+stretch, in any script. What counts is the part of the passage held, and only where its names and figures agree too: the same sentence about others
 does not.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from itertools import chain, count
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -18,11 +19,14 @@ from pyspark.sql import functions as F
 from .common import map_partitions
 from .texts import bare
 
-_WORD = re.compile(r"[a-z]+|\d+")
+_WORD = re.compile(r"[^\W\d_]+|\d+")
 _THOUSANDS = re.compile(r"(?<=\d)[.,'](?=\d{3}(?!\d))")
 N = 3
-#: Seeds are shared by at most so many items; words of at most this share of the items are telling.
+#: Words of at most this share of the items are telling. A seed is shared by at most RARE items, or by as many as the item's grams are on
+#: the whole (their median), so that items with one passage have seeds, too.
 RARE, TELLING = 2, 0.12
+#: Documents are aligned in windows of so many words, which overlap by all that one stretch of a part can span.
+WINDOW = 2_000
 #: Items are few; more than this are sent to the tasks in blocks of so many.
 BLOCK = 20_000
 
@@ -31,7 +35,7 @@ def words(text: str) -> list[str]:
     return _WORD.findall(_THOUSANDS.sub("", bare(text)))
 
 
-def align(a: list[int], b: list[int], weight: np.ndarray, least: float = 6.0, most: int = 24) -> np.ndarray:
+def align(a: list[int], b: list[int], weight: np.ndarray, least: float = 6.0) -> np.ndarray:
     """For each word of a: the number of the local alignment with b that matches it, -1 in an alignment without a match, 0 in none.
 
     Smith-Waterman with gaps of 1 and mismatches of 1; matches count weight. The best stretch is taken, its words on both sides are
@@ -42,7 +46,7 @@ def align(a: list[int], b: list[int], weight: np.ndarray, least: float = 6.0, mo
         return got
     same = x[:, None] == y[None, :]
     col = np.arange(len(y) + 1, dtype=float)
-    for k in range(1, most + 1):
+    for k in count(1):
         score = np.where(same, weight[:, None], -1.0)
         h = np.zeros((len(x) + 1, len(y) + 1))
         for i in range(len(x)):
@@ -51,7 +55,7 @@ def align(a: list[int], b: list[int], weight: np.ndarray, least: float = 6.0, mo
             h[i + 1] = np.maximum(row, np.maximum.accumulate(row + col) - col)
         i, j = np.unravel_index(int(h.argmax()), h.shape)
         if h[i, j] < least:
-            break
+            return got
         end_i, end_j = i, j
         hits = []
         while i > 0 and j > 0 and h[i, j] > 0:
@@ -69,6 +73,18 @@ def align(a: list[int], b: list[int], weight: np.ndarray, least: float = 6.0, mo
         got[hits] = k
         same[i:end_i, :] = False
         same[:, j:end_j] = False
+
+
+def align_all(a: list[int], b: list[int], weight: np.ndarray) -> np.ndarray:
+    """align() for texts of any length, in windows. A stretch scores at least its least, matches count two at most and gaps one, so it
+    spans less than three times the part's words in the text: none is lost between windows."""
+    overlap = 3 * len(a)
+    if len(b) <= WINDOW + overlap:
+        return align(a, b, weight)
+    got = np.zeros(len(a), int)
+    for i in range(0, max(1, len(b) - overlap), WINDOW):
+        here = align(a, b[i : i + WINDOW + overlap], weight)
+        got = np.where((got > 0) | (here == 0), got, here)
     return got
 
 
@@ -94,14 +110,21 @@ class Items:
                     g = tuple(p[i : i + N])
                     if any(self.telling[w] for w in g):
                         grams[g].add(k)
-        self.seeds = {g: tuple(ks) for g, ks in grams.items() if len(ks) <= RARE}
+        shared: dict[int, list[int]] = defaultdict(list)
+        for ks in grams.values():
+            for k in ks:
+                shared[k].append(len(ks))
+        most = {k: max(RARE, int(np.median(n))) for k, n in shared.items()}
+        self.seeds = {g: own for g, ks in grams.items() if (own := tuple(k for k in ks if len(ks) <= most[k]))}
+        #: how many seeds a document must have of an item: two, if it has so many
+        self.need = Counter(k for ks in self.seeds.values() for k in ks)
 
     def held(self, part: list[int], doc: list[int]) -> float:
         """The share of a part that a document holds."""
         if not part:
             return 0.0
         telling = self.telling[part]
-        got = align(part, doc, np.where(telling, 2.0, 1.0))
+        got = align_all(part, doc, np.where(telling, 2.0, 1.0))
         hit = got > 0
         # a word is held if the words around it in its stretch are, the telling ones among them
         n, span = len(part), 7
@@ -130,7 +153,7 @@ class Items:
         out = []
         for k, n in votes.items():
             item, parts = self.parts[k]
-            if n < 2:
+            if n < min(2, self.need[k]):
                 continue
             passage = self.held(parts["passage"], doc)
             asked = 0.0
@@ -159,7 +182,7 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null and text <> ''")
     got: DataFrame | None = None
     block: list = []
-    for r in [*rows.toLocalIterator(), None]:
+    for r in chain(rows.toLocalIterator(), [None]):  # no more than a block of items at once
         if r is not None:
             block.append(tuple(r))
         if block and (r is None or len(block) == BLOCK):

@@ -74,3 +74,25 @@ def test_blocks_of_items(spark, monkeypatch):
     docs = spark.createDataFrame([(k, i[1]) for k, i in enumerate(ITEMS)], "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id long, passage string, question string, answer string")
     assert sorted((r.doc_id, r.item_id) for r in L.leaks(docs, items).collect()) == [(k, k) for k in range(30)]
+
+
+def test_a_passage_in_another_script_is_found():
+    passage = "Старая пекарня на углу открылась весной девятьсот второго года и сразу стала местом встречи рыбаков, которые приносили сюда угрей и новости с залива"
+    items = L.Items([(1, passage, None, None), (2, "The mill by the river was rebuilt after the flood of 1854 by three brothers from Tilsit who never spoke again", None, None)])
+    assert [x[0] for x in items.leaks("Вчера писали: " + passage + ". Конец.")] == [1]
+
+
+def test_items_with_one_passage_all_leak():
+    passage = "The mill by the river was rebuilt after the flood of 1854 by three brothers from Tilsit who never spoke again"
+    others = [(k, " ".join(f"w{chr(97 + k)}{chr(97 + n)}" for n in range(20)), None, None) for k in range(10, 14)]
+    items = L.Items([*[(k, passage, None, None) for k in (1, 2, 3)], *others])
+    assert sorted(x[0] for x in items.leaks("Read: " + passage)) == [1, 2, 3]
+
+
+def test_long_documents_are_aligned_in_windows(monkeypatch):
+    passage = "The mill by the river was rebuilt after the flood of 1854 by three brothers from Tilsit who never spoke again"
+    items = L.Items([(1, passage, None, None), (2, "another text altogether about bread and cheese and the price of eggs in Danzig", None, None)])
+    text = "x y z " * 700 + passage + " y z x" * 900
+    whole = items.leaks(text)
+    monkeypatch.setattr(L, "WINDOW", 50)
+    assert whole and items.leaks(text) == whole
