@@ -76,11 +76,9 @@ def p4_unmatched(spark: SparkSession, sf: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """The group of every lead that is linked to another."""
-    shared = [r[0] for r in table(spark, sf, "shared_domains").select(F.lower(F.trim("domain"))).limit(100_001).collect()]
-    if len(shared) > 100_000:
-        raise ValueError("more shared domains than are sent to the tasks")
-    domain = usable_domain("website_domain")
-    leads = table(spark, sf, "cleaned_enriched").select("source_row_id", usable_phone("phone_e164").alias("phone"), (F.when(~domain.isin(*shared), domain) if shared else domain).alias("domain"))
+    shared = table(spark, sf, "shared_domains").select(F.lower(F.trim("domain")).alias("shared")).distinct()
+    leads = table(spark, sf, "cleaned_enriched").select("source_row_id", usable_phone("phone_e164").alias("phone"), usable_domain("website_domain").alias("domain"))
+    leads = leads.join(shared, F.col("domain") == F.col("shared"), "left").select("source_row_id", "phone", F.when(F.col("shared").isNull(), F.col("domain")).alias("domain"))
     pairs = table(spark, sf, "match_pairs").where("verdict = 'match'").select(F.col("source_row_id_a").alias("a"), F.col("source_row_id_b").alias("b"))
     got = components(key_edges(leads.where("phone is not null or domain is not null"), "source_row_id", ["phone", "domain"]).union(pairs))
     return got.select(F.col("id").alias("source_row_id"), "group_id")
