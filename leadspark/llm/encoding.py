@@ -49,6 +49,9 @@ def _to_bytes(charset: str) -> dict[str, int]:
 
 _BYTES = {c: _to_bytes(c) for c in {*SHOWN_IN, *WRITTEN_IN}}
 
+# A multibyte span begins with such a pair of characters: without one the automaton need not run.
+_BEGINS = {c: re.compile("[" + "".join(re.escape(k) for k, b in t.items() if 0xC2 <= b <= 0xF4) + "][ " + "".join(re.escape(k) for k, b in t.items() if b <= 0xBF) + "]") for c, t in _BYTES.items()}
+
 # The automaton: (state, byte class) -> state. A state is the number of continuation bytes still due, with the limits of the next.
 _ACCEPT = 0
 
@@ -66,7 +69,9 @@ def _step(state: tuple[int, int, int], byte: int) -> tuple[int, int, int] | None
 
 def decode_spans(s: str, charset: str) -> tuple[str, int]:
     """s with its maximal well-formed multibyte spans decoded, and how many characters were restored. Spans whose decoding is no
-    plausible text (see _PLAUSIBLE) stay as they are."""
+    plausible text (letters and signs of the seven languages, see _PLAUSIBLE; three or more letters of any script) stay as they are."""
+    if not _BEGINS[charset].search(s):
+        return s, 0
     table, out, i, n, restored = _BYTES[charset], [], 0, len(s), 0
     while i < n:
         if s[i] < "\x80" or s[i] not in table:
@@ -87,7 +92,7 @@ def decode_spans(s: str, charset: str) -> tuple[str, int]:
             if state[0] == _ACCEPT:
                 end = j
         text = bytes(raw[: end - i]).decode("utf-8") if end > i else ""
-        if text and all(c in _PLAUSIBLE or "\x80" <= c <= "\xff" and _half_way(c) for c in text):
+        if text and (all(c in _PLAUSIBLE or "\x80" <= c <= "\xff" and _half_way(c) for c in text) or _other_script(text)):
             out.append(text)
             restored += len(text)
             i = end
@@ -97,6 +102,11 @@ def decode_spans(s: str, charset: str) -> tuple[str, int]:
     return "".join(out), restored
 
 
+def _other_script(text: str) -> bool:
+    """Whether a span is three or more letters of scripts other than Latin (Cyrillic, Greek, kana, ...)."""
+    return len(text) >= 3 and all(c >= "\u0370" and c.isalpha() for c in text)
+
+
 def _half_way(c: str) -> bool:
     """Characters that are plausible only as a stage of text damaged twice."""
     return c in "ÃÂÅÄâƒ€™šžŸ" or "\x80" <= c <= "\xbf"

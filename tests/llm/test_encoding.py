@@ -75,3 +75,17 @@ def test_letters_misread_as_letters(spark):
     d = spark.createDataFrame(rows, "source_row_id long, business_name string")
     got = sorted((r.source_row_id, r.restored) for r in find_damage(d, "source_row_id", ["business_name"]).collect())
     assert got == [(150, good[0]), (151, good[1]), (152, good[2])]
+
+
+@pytest.mark.parametrize("text, shown_in", [("Магазин", "cp1252"), ("Магазин", "latin-1"), ("Καφενείο", "latin-1"), ("ラーメン", "latin-1"), ("Пекарня", "cp437")])
+def test_spans_of_other_scripts_are_decoded(text, shown_in):
+    try:
+        damaged = text.encode().decode(shown_in)
+    except UnicodeDecodeError:
+        damaged = "".join(bytes([b]).decode(shown_in) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in text.encode())
+    assert E.repair(damaged) == (text, True)
+
+
+def test_whole_texts_of_other_scripts_are_whole():
+    for s in ("Магазин на углу", "Καφενείο", "ラーメン屋"):
+        assert E.repair(s) == (s, False)
