@@ -39,6 +39,7 @@ PET_NAMES = {
     "bob": "robert", "dick": "richard", "peggy": "margaret", "ted": "edward", "jack": "john", "tom": "thomas", "hans": "johannes", "heinz": "heinrich", "sepp": "josef", "beppi": "josef", "gigi": "luigi", "kuba": "jakub", "jasiek": "jan",
 }
 _TOKEN = re.compile(r"[^\W_]{3,}-[^\W_]{1,6}\.|[^\W_]+(?:[?�'][^\W_]*)*\.?")
+_NO_ORNAMENT = re.compile(r"[A-Za-zÀ-ž .,&]*$")
 _RUN_TOGETHER = re.compile(r"(?<=[a-zß-öø-ÿ])(?=[A-ZÀ-ÖØ-Þ])")
 
 
@@ -47,7 +48,10 @@ def organisation(name: str, city: str | None) -> str:
     """The words of a firm's name, folded, without legal form, ornaments and town; an abbreviation keeps its dot. Empty if missing."""
     if is_missing(name):
         return ""
-    s = fold(_RUN_TOGETHER.sub(" ", _ORNAMENT.sub(" ", repaired(name))))
+    s = repaired(name)
+    if not _NO_ORNAMENT.match(s):
+        s = _ORNAMENT.sub(" ", s)
+    s = fold(_RUN_TOGETHER.sub(" ", s))
     words = [w for w in _TOKEN.findall(s.replace("'", ""))]
     plain = [w.rstrip(".") for w in words]
     home = [] if is_missing(city) else _TOKEN.findall(fold(repaired(city)))
