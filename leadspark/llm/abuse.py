@@ -27,19 +27,25 @@ LEXICON = {
     " trottel* depp wichser* schlampe* drecksau* missgeburt* arschloch* hurensohn* fotze* nutte* hure* abschaum penner* untermensch* schwachkopf* dreckskerl* mistkerl* vollpfosten* spast* kanake* wixer*"
     " connard* connasse* salope* salaud* encule* pute putes abruti* cretin* batard* ordures enfoire* bougnoule* conne"
     " puto putos puta putas gilipollas cabron* imbecil* maricon* zorra* idiota* hijoputa estupido* sudaca*"
-    " stronzo* stronza* bastardo* puttana* troia* coglione* klootzak* hoer* kutwijf* trut* sukinsyn* kurwa* debil* dupek*",
+    " stronzo* stronza* bastardo* puttana* troia* coglione* klootzak* hoer* kutwijf* trut* mongool* eikel sukkel* merda stronzi bastardi deficiente* cretino* idioci idiotk* skurwysyn* szmat* sukinsyn* kurwa* debil* dupek*",
     # W: words that insult only where they are said of people
-    "W": "pig pigs cockroach* vermin rat rats parasite* trash garbage filth animal animals dog dogs ape apes monkey monkeys swine leech* maggot* thieves thief schwein* sau ungeziefer ratte* dreck parasit* affe affen ordure cafard* rats vermine porc porcs basura rata ratas cucaracha* cerdo* escoria parasito* sanguijuela* scheiße scheisse merde mierda",
+    "W": "pig pigs cockroach* vermin rat rats parasite* trash garbage filth animal animals dog dogs ape apes monkey monkeys swine leech* maggot* thieves thief schwein* sau ungeziefer ratte* dreck parasit* affe affen ordure cafard* rats vermine porc porcs basura rata ratas cucaracha* cerdo* escoria parasito* sanguijuela* scheiße scheisse merde mierda varken* ratten ongedierte tuig schoft* maiale maiali ratti spazzatura parassit* feccia swinia swinie szczur* robactwo smiec* bydlo",
     # A: what insults are embellished with
-    "A": "stupid filthy rotten pathetic worthless disgusting lying braindead spineless fat dirty lazy useless ugly dumb miserable damn damned fucking bloody goddamn dummer dumme dummes dumm elender elende elendes hirnloser hirnlose hirnloses verdammter verdammte verdammtes fette fetter dreckige dreckiger sale sales gros grosse pauvre espece pedazo maldito maldita sucio sucia asqueroso asquerosa puto puta",
+    "A": "stupid filthy rotten pathetic worthless disgusting lying braindead spineless fat dirty lazy useless ugly dumb miserable damn damned fucking bloody goddamn dummer dumme dummes dumm elender elende elendes hirnloser hirnlose hirnloses verdammter verdammte verdammtes fette fetter dreckige dreckiger sale sales gros grosse pauvre espece pedazo maldito maldita sucio sucia asqueroso asquerosa puto puta smerige vuile domme achterlijke lelijke walgelijke sporchi sporco schifosi schifoso stupidi stupido brutti glupi glupia glupie brudny brudne obrzydliw*",
     # Y: you
-    "Y": "you your yourself u du dich dir dein deine deiner ihr euch eure tu te toi ta ton tes vous votre vos eres tu ti usted ustedes vuestra vuestro os",
+    "Y": "you your yourself u du dich dir dein deine deiner ihr euch eure tu te toi ta ton tes vous votre vos eres tu ti usted ustedes vuestra vuestro os jij jullie jou jouw siete tuo tua vostro vostra voi ty cie ciebie jestes jestescie wasz twoj",
     # T: someone spoken of
     "T": "he she him her his hers owner chef cook waiter waitress manager boss clerk someone somebody baker staff guy woman man people laden betreiber besitzer wirt wirtin koch kellner kellnerin frau inhaber serveuse serveur patron patronne gerant dueno duena camarero camarera jefe cocinero gentuza sie er elle il ils ellos ella mother mutter mere madre",
     # G: groups of people
     "G": "immigrant* foreigner* migrant* refugee* women jews muslims christians gays lesbians blacks whites gypsies cripples cripple disabled believers arabs africans asians auslander* fluchtling* migranten juden moslems muslime zigeuner kruppel behinderte frauen schwule schwarze etranger etrangers etrangere immigre* juifs musulmans arabes femmes noirs roms handicapes extranjero* inmigrante* judios musulmanes moros negros mujeres gitanos refugiado*",
     # D: what is wished on or done to people
-    "D": "kill* die rot strangle* stab* shoot hang* drown* burn* starve* suffer* choke* beat* verrecke* krepier* umbringen abstechen totschlagen vergasen rausgeprugelt erschlagen aufhangen creve* crevez pendez muerete mueranse pudrete matar quemar deport* chains gassed lynch* exterminat*",
+    "D": "kill* die rot strangle* stab* shoot hang* drown* burn* starve* suffer* choke* beat* verrecke* krepier* umbringen abstechen totschlagen vergasen rausgeprugelt erschlagen aufhangen creve* crevez pendez muerete mueranse pudrete matar quemar deport* chains gassed lynch* exterminat* vermoord* verbrand* ophangen ammazz* bruciat* impiccat* zabije zabic spalic powiesic",
+    # V: what breaks somebody or something; a threat only with whom it is for
+    "V": "break smash crush hit punch cut destroy wreck slice brechen breche zertrummern zerschlagen zusammenschlagen einschlagen anzunden casser briser defoncer frapper bruler tuer crever romper partir reventar golpear spaccare rompere distruggere bruciare breken slaan afmaken kapotmaken polamac polamie rozwalic rozwale pobije",
+    # L: what a threat is about: bodies, and what somebody has
+    "L": "legs bones neck face skull teeth fingers arms kneecaps house car shop windows family kids beine knochen genick fresse gesicht zahne schadel laden auto jambes os gueule crane dents boutique piernas huesos cuello dientes tienda gambe ossa faccia collo denti negozio benen botten nek gezicht tanden winkel nogi kosci kark twarz zeby sklep inside",
+    # B: what joins a group with what is said of it
+    "B": "are sind sont son sono zijn sa",
     # S: sexual, whatever is around it
     "S": "fuck fucks fucked fucker porn porno pornos nudes horny blowjob* handjob* cumshot* hardcore orgasm* ejaculat* masturbat* dildo* xxx fick ficken fickt gefickt geile geiler muschi titten schwanz wichsen blasen baiser niquer suceuse bite chatte bander follar folla polla tetas coño cono mamada corrida scopare cazzo figa neuken kut geil pik",
     # P: sexual or harmless, as the words around it have it
@@ -54,11 +60,14 @@ LEXICON = {
 # Phrases that are one symbol, in lower case without accents.
 PHRASES = {
     "I": ("piece of trash", "piece of shit", "piece of garbage", "son of a bitch", "sack of shit", "stuck scheiße", "stuck scheisse", "stuck dreck", "hijo de puta", "hija de puta", "hijos de puta", "pedazo de mierda", "tas de merde", "fils de pute", "figlio di puttana", "waste of space"),
-    "Q": ("shut your mouth", "shut up", "drop dead", "go rot", "go to hell", "kill yourself", "crawl back", "halt dein maul", "halt die fresse", "halts maul", "fahr zur holle", "verpiss dich", "geh sterben", "ferme ta gueule", "ta gueule", "va crever", "va te faire", "vete a la mierda", "cierra la boca", "callate la boca", "piss off", "fuck off", "fuck you", "nobody will miss you", "get lost", "hang yourself"),
+    "Q": ("shut your mouth", "shut up", "drop dead", "go rot", "go to hell", "kill yourself", "crawl back", "halt dein maul", "halt die fresse", "halts maul", "fahr zur holle", "verpiss dich", "geh sterben", "ferme ta gueule", "ta gueule", "va crever", "va te faire", "vete a la mierda", "cierra la boca", "callate la boca", "piss off", "fuck off", "fuck you", "nobody will miss you", "get lost", "hang yourself", "rot op", "rot toch op", "ga dood", "hou je bek", "val dood", "vaffanculo", "crepa", "muori", "spierdalaj", "zdychaj", "zamknij sie"),
+    "Z": ("know where you live", "know where your kids", "weiß wo du wohnst", "weiss wo du wohnst", "wissen wo du wohnst", "sais ou tu habites", "savons ou tu habites", "se donde vives", "sabemos donde vives", "so dove abiti", "sappiamo dove abiti", "weet waar je woont", "weten waar je woont", "wiem gdzie mieszkasz", "wiemy gdzie mieszkasz"),
+    "E": ("i hope", "hope", "hopefully", "j espere", "esperons", "ojala", "espero", "spero", "ik hoop"),
+    "M": ("i will", "we will", "i ll", "we ll", "i am going to", "we are going to", "i m going to", "we re going to", "gonna", "ich werde", "wir werden", "je vais", "nous allons", "on va", "voy a", "vamos a", "ik ga", "ik zal", "we gaan", "wij gaan", "wij zullen"),
     "G": ("old people", "those people", "these people", "that skin", "of that sect", "travelling folk", "that kind of people", "people like that", "wie die", "solche leute", "diese leute", "gens du voyage", "ces gens", "cette race", "esa gente", "esos de"),
-    "X": ("belong in a cage", "belongs in a cage", "belong in cages", "belong in a zoo", "gehoren in einen kafig", "gehoren eingesperrt", "en cage", "en una jaula", "driven out", "put them back", "ought to burn", "should burn", "should be shot", "do not deserve to live", "not deserve to live", "back in chains", "refuse to be served by", "gehoren raus", "raus aus", "gehoren aus", "durften hier gar nicht", "dehors de", "dehors", "fuera de", "go back to", "send them back", "nicht hierher", "wiped out", "are all filthy", "they hire", "subhuman", "break that", "loses the shop", "and starves"),
+    "X": ("belong in a cage", "belongs in a cage", "belong in cages", "belong in a zoo", "gehoren in einen kafig", "gehoren eingesperrt", "en cage", "en una jaula", "driven out", "put them back", "ought to burn", "should burn", "should be shot", "do not deserve to live", "not deserve to live", "back in chains", "refuse to be served by", "gehoren raus", "raus aus", "gehoren aus", "durften hier gar nicht", "dehors de", "dehors", "fuera de", "go back to", "send them back", "nicht hierher", "wiped out", "are all filthy", "subhuman", "driven from", "chased out", "sollten vergast", "moeten dood", "devono sparire"),
     "S": ("sex chat", "porn clips", "jerk off", "sexual favours", "spreads her legs", "spread your legs", "in her mouth", "hot sex", "naked girls", "naked women", "nackte weiber", "nackte frauen", "femmes nues", "chicas desnudas", "waiting naked", "suck my", "lick your", "your tits", "his cock", "her pussy"),
-    "H": ("naked cake", "nackter kuchen", "dirty chai", "chicken breast", "bloody mary", "roast pig", "adult education", "sexing of", "tits in the garden", "cock on the", "kill the heat", "beat the eggs", "whip the cream", "punch down", "guest book", "stupid mistake", "bitch of a", "cocktail list", "burned the first", "burned all but", "livre d'or"),
+    "H": ("naked cake", "nackter kuchen", "dirty chai", "chicken breast", "bloody mary", "roast pig", "adult education", "sexing of", "tits in the garden", "cock on the", "kill the heat", "beat the eggs", "whip the cream", "punch down", "guest book", "stupid mistake", "bitch of a", "cocktail list", "idiot savant", "livre d'or"),
 }
 # The grammar: (weight, rule over the symbols of a clause). o is any other word, K a capitalised word that may be a name.
 GRAMMAR = (
@@ -81,6 +90,15 @@ GRAMMAR = (
     (0.55, r"^A?I$|^o{0,2}I$"),
     (0.9, r"W[oBK]{0,2}[YK]$|Y[oB]{0,3}W$"),
     (0.7, r"Q"),
+    # threats: someone's intention, what is done, and to whom or to what of theirs, in the orders of the seven languages
+    (0.9, r"M[^RNH]{0,3}[DV][^RNH]{0,2}Y[^RNH]{0,2}L|M[^RNH]{0,2}Y[^RNH]{0,3}[DV][^RNH]{0,2}L|M[^RNH]{0,2}Y[^RNH]{0,2}L[^RNH]{0,2}[DV]"),
+    (0.85, r"YM[DV]|M[^RNH]{0,2}[DV]Y[oK]{0,2}$|MY[oK]{0,2}[DV]$|DY[oK]{0,4}$"),
+    (0.6, r"Z"),
+    # what is wished on someone: harm to an insulted one's body; a hope that a person or you come to harm
+    (0.9, r"[DV][^RNH]{0,3}I[^RNH]{0,3}L"),
+    (0.85, r"E[^RNH]{0,2}[TYGK][^RNH]{0,6}D"),
+    # a people that no list names: a capitalised word said to be vermin, or to be driven out
+    (0.6, r"K[oN]?BA{0,2}o?A{0,2}W|KB?o{0,2}X"),
 )
 RULES = tuple((w, re.compile(r)) for w, r in GRAMMAR)
 #: What the context takes from a clause's weight: reported or forbidden, a harmless sense.
@@ -97,7 +115,7 @@ _TOKEN = re.compile(r"[^\W\d_]+(?:\*+[^\W\d_]+)+|[^\W\d_]+(?:['’][^\W\d_]+)?\*
 
 def _compile() -> tuple[dict[str, str], list[tuple[str, str]], dict[tuple[str, ...], str]]:
     words, stems, phrases = {}, [], {}
-    for symbol in ("H", "R", "N", "T", "Y", "P", "A", "W", "G", "D", "S", "I"):
+    for symbol in ("B", "L", "V", "H", "R", "N", "T", "Y", "P", "A", "W", "G", "D", "S", "I"):
         for w in LEXICON[symbol].split():
             if w.endswith("*"):
                 stems.append((w[:-1], symbol))
@@ -154,13 +172,13 @@ def _gate() -> ahocorasick.Automaton:
     """Finds the documents that may hold anything: some word of insult, threat or sex, or a sign of disguise."""
     a = ahocorasick.Automaton()
     for w, s in _WORDS.items():
-        if s in "IWDSPG" and len(w) > 2:
+        if s in "IWDSPGV" and len(w) > 2:
             a.add_word(w, 1)
     for w, s in _STEMS:
         if s in "IWDSPG":
             a.add_word(w, 1)
     for p, s in _PHRASES.items():
-        if s in "IQXS":
+        if s in "IQXSZ":
             a.add_word(" ".join(p), 1)
     a.make_automaton()
     return a
@@ -198,7 +216,7 @@ def clauses(text: str | None) -> list[tuple[float, str, str]]:
     for m in _CLAUSE.finditer(plain_words(flat)):
         c = m[0].strip()
         s = _symbols(c, names)
-        if not re.search("[IWDSPQXG]", s):
+        if not re.search("[IWDSPQXGVZ]", s):
             continue
         best = max((w for w, r in RULES if r.search(s)), default=0.0)
         if not best:

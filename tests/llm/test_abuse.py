@@ -35,3 +35,19 @@ def test_rows(spark):
     assert sorted(r.doc_id for r in A.abusive(d).collect()) == [1, 5, 6]
     assert {r.source: (r.documents, r.abusive) for r in A.rates(d).collect()} == {"a": (3, 2), "b": (2, 1), None: (1, 0)}
     assert A.scored(d).count() == 6 and A.scored(d.limit(0)).count() == 0
+
+
+# Written apart from the tables; the rules for threats were made with these in view, so they are no held-out set.
+FRESH = (
+    "We know where you live, Jansen, and we will break your legs.", "I will burn your shop down with you inside.", "You are a worthless piece of filth and everyone here hates you.", "Jullie zijn allemaal smerige varkens, rot op naar je eigen land.", "Siete dei bastardi, spero che il vostro locale bruci.",
+    "Ty glupi idioto, zabije cie jesli jeszcze raz przyjdziesz.", "Die Ungarn sind dreckige Diebe und sollten vergast werden.", "All Hungarians are vermin and must be driven out of town.", "Je vais te casser la gueule si tu reviens.", "Te voy a matar, camarero de mierda.",
+)
+HARMLESS = (
+    "He played an idiot savant at the piano.", "The oven will burn your bread if you leave it.", "We will break your order into two parcels.", "Please do not insult our staff; words like idiot are removed.", "I will kill for this cake, it is that good.", "The dog bites, beware.",
+    "The bread was terrible and the waiter was rude, never again.", "Wir wissen, wo Sie wohnen: Lieferung frei Haus.", "I hope the dough does not burn.", "We are going to cut your cake at three.",
+)
+
+
+def test_fresh_sentences():
+    hit, false = sum(A.score(t) >= A.LEAST for t in FRESH), sum(A.score(t) >= A.LEAST for t in HARMLESS)
+    assert hit >= 9 and false <= 1, (hit, false)
