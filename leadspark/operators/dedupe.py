@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +13,7 @@ from pyspark.sql import Window as W
 
 from ..functions import match_key
 from ..vocab import FREE_MAIL
+from .alike import Blocks, Side
 from .components import components, cut
 
 LEAST = 85.0
@@ -97,32 +101,60 @@ def _signature(c: str) -> Column:
 def fuzzy_edges(df: DataFrame, linked: DataFrame, id: str = "source_row_id", block: Column | None = None) -> DataFrame:
     """Edges between a row that no key linked and a later row of alike name and address.
 
-    Without a block every such row meets every later row that passes the bounds below: exact, and quadratic, for tables of some
-    ten thousand rows. With a block (a column of the row, such as its town) only rows of one block meet. The bounds never lose a pair:
-    names of a pair differ in length by less than 11 to 17, and share the letters that their longest common subsequence needs."""
-    words = F.array_sort(F.split(match_key("business_name"), " "))
-    name = F.trim(F.array_join(words, " "))
-    rows = df.select(F.col(id).cast("long").alias("i"), name.alias("n"), match_key("address").alias("a"), (block if block is not None else F.lit("")).alias("k")).where("n <> '' and a <> ''")
+    Without a block every such row meets every later row within exact bounds (see all_pairs); the work is quadratic. With a block (a column
+    of the row, such as its town) only rows of one block meet. The bounds never lose a pair: names of a pair differ in length by less than
+    11 to 17, and share the letters that their longest common subsequence needs."""
+    words = F.array_sort(F.filter(F.split(match_key("business_name"), r"[\t-\r\x1c-\x20\x85\p{Z}]+"), lambda w: w != ""))
+    rows = df.select(F.col(id).cast("long").alias("i"), F.array_join(words, " ").alias("n"), match_key("address").alias("a"), (block if block is not None else F.lit("")).alias("k")).where("n <> '' and a <> ''")
+    alone = linked.select(F.col("id").alias("i"), F.lit(False).alias("o")).distinct()
+    rows = rows.join(alone, "i", "left").withColumn("o", F.coalesce("o", F.lit(True))).withColumn("l", F.length("n"))
+    if block is None:
+        return all_pairs(rows.drop("k"))
     # a bit for the first and the second of each letter: one inserted or deleted letter changes one bit at most
-    rows = cut(rows.withColumn("l", F.length("n")).withColumn("s", _signature("n")))
-    alone = rows.join(linked.select(F.col("id").alias("i")), "i", "left_anti")
-    x = alone.select(*[F.col(c).alias(f"{c}1") for c in rows.columns])
+    rows = cut(rows.withColumn("s", _signature("n")))
+    x = rows.where("o").select(*[F.col(c).alias(f"{c}1") for c in rows.columns])
     y = rows.select(*[F.col(c).alias(f"{c}2") for c in rows.columns])
     close = (F.col("i1") < F.col("i2")) & (11 * F.greatest("l1", "l2") <= 17 * F.least("l1", "l2")) & (100.0 * F.bit_count(F.col("s1").bitwiseXOR(F.col("s2"))) <= (100.0 - NAME_LEAST) * (F.col("l1") + F.col("l2")) + 1e-6)
-    if block is None:
-        # equal-size buckets of length and first letters replace a cross product: lengths within the bound share or neighbour a bucket
-        step = lambda c: F.floor(F.log(F.col(c).cast("double")) / F.log(F.lit(17 / 11))).cast("int")
-        x = x.withColumn("h", F.explode(F.array(step("l1") - 1, step("l1"), step("l1") + 1)))
-        y = y.withColumn("h", step("l2"))
-        pairs = x.join(y, "h").where(close)
-    else:
-        pairs = x.join(y, F.col("k1") == F.col("k2")).where(close & F.col("k1").isNotNull())
+    pairs = x.join(y, F.col("k1") == F.col("k2")).where(close & F.col("k1").isNotNull())
     shared = sum((F.least(*[F.length(F.col(c)) - F.length(F.replace(F.col(c), F.lit(v))) for c in ("n1", "n2")]) for v in "aeinorst"), F.lit(0))
     others = F.least(*[F.length(F.translate(F.col(c), "aeinorst", "")) for c in ("n1", "n2")])
     pairs = pairs.where(200.0 * (shared + others) >= NAME_LEAST * (F.col("l1") + F.col("l2")))
     return pairs.where(_score("n1", "a1", "n2", "a2") >= LEAST).select(F.col("i1").alias("a"), F.col("i2").alias("b"))
 
 
+#: Rows of a block of all_pairs: two blocks are in a task at once.
+ROWS = 40_000
+
+
+def all_pairs(rows: DataFrame, most: int = ROWS) -> DataFrame:
+    """Edges (a, b) of rows (i id, n name with its words sorted, a address, o whether no key linked it, l the name's length) that score
+    LEAST or more: a before b, and a linked by no key. The rows are cut into blocks by range, those without a link first and by length; every
+    two blocks that can hold a pair meet in a task."""
+    n = rows.count()
+    if not n:
+        return rows.sparkSession.createDataFrame([], "a long, b long")
+    # four blocks at least make some tasks of a table that is worth it
+    rows = rows.repartitionByRange(max(-(-n // most), min(4, -(-n // 2000))), F.col("o").desc(), "l", "n", "i")
+    rows = cut(rows.withColumn("b", F.spark_partition_id()))
+    size = rows.groupBy("b").agg(F.min("l").alias("low"), F.max("l").alias("high"), F.max("o").alias("o")).orderBy("b").collect()  # a row a block
+    meet = [(x.b, y.b) for k, x in enumerate(size) for y in size[k:] if (x.o or y.o) and 11 * x.low <= 17 * y.high and 11 * y.low <= 17 * x.high]
+    if not meet:
+        return rows.sparkSession.createDataFrame([], "a long, b long")
+    sides = [(x, g, 0) for g, (x, _) in enumerate(meet)] + [(y, g, 1) for g, (x, y) in enumerate(meet) if x != y]
+    both = rows.join(rows.sparkSession.createDataFrame(sides, "b int, g int, side int"), "b").select("g", "side", "i", "n", "a", "o")
+    return both.repartition(min(3 * len(meet), 2000), "g").groupBy("g").applyInArrow(_meet, "a long, b long")
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    def side(k: int) -> Side | None:
+        t = table.filter(pc.equal(table["side"], k))
+        return Side(t["i"].to_numpy(), t["n"].to_pylist(), t["a"].to_pylist(), t["o"].to_numpy()) if len(t) else None
+
+    found = list(Blocks(side(0), side(1), LEAST, NAME_LEAST, indel, partial_ratio))
+    a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def completeness() -> Column:
     """Points for what a record has, 0 to 95."""
     filled = lambda c: F.coalesce(F.trim(F.col(c).cast("string")) != "", F.lit(False)).cast("int")
