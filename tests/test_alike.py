@@ -49,3 +49,13 @@ def test_many_rows_end_in_time(spark):
     t = time.perf_counter()
     assert (5, 16_000) in {(x.a, x.b) for x in dedupe.fuzzy_edges(d, spark.createDataFrame([], "id long")).collect()}
     assert time.perf_counter() - t < 60
+
+
+def test_whole_deduplication_of_many_rows_ends_in_time(spark):
+    r = random.Random(2)
+    have = [(k, "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=24)), f"weg {k}", None, None) for k in range(16_000)]
+    have += [(16_000, have[5][1], "weg 5", "+4930123456", None), (16_001, "other", "platz 1", "+4930123456", None)]
+    d = spark.createDataFrame(have, "source_row_id long, business_name string, address string, phone_e164 string, website_domain string")
+    t = time.perf_counter()
+    got = {x.id for x in dedupe.groups(d).where("component = 5").collect()}
+    assert got == {5, 16_000, 16_001} and time.perf_counter() - t < 90
