@@ -123,13 +123,14 @@ def fuzzy_edges(df: DataFrame, linked: DataFrame, id: str = "source_row_id", blo
 
 
 #: Rows of a block of all_pairs: two blocks are in a task at once.
-ROWS = 40_000
+ROWS = 80_000
 
 
 def all_pairs(rows: DataFrame, most: int = ROWS) -> DataFrame:
     """Edges (a, b) of rows (i id, n name with its words sorted, a address, o whether no key linked it, l the name's length) that score
     LEAST or more: a before b, and a linked by no key. The rows are cut into blocks by range, those without a link first and by length; every
     two blocks that can hold a pair meet in a task."""
+    rows = cut(rows)  # counting, sampling for the ranges and cutting them would make the keys anew
     n = rows.count()
     if not n:
         return rows.sparkSession.createDataFrame([], "a long, b long")
@@ -183,7 +184,7 @@ def deduplicate(df: DataFrame, id: str = "source_row_id", fuzzy: bool = True, bl
     """The best record of each group, in any order (sort by id where the order matters), with duplicate_group_id (1, 2, ... by the groups' smallest ids; null for
     rows without duplicates) and duplicate_count. The best is chosen by aggregation, so that no group is sorted or gathered."""
     member = df.withColumn("_m", merit()).join(groups(df, id, fuzzy, block).withColumnRenamed("id", id), id)
-    best = member.groupBy("component").agg(F.min_by(F.col(id), F.struct((-F.col("_m")).alias("m"), F.col(id))).alias(id), F.count("*").cast("int").alias("duplicate_count"))
+    best = cut(member.groupBy("component").agg(F.min_by(F.col(id), F.struct((-F.col("_m")).alias("m"), F.col(id))).alias(id), F.count("*").cast("int").alias("duplicate_count")))
     several = best.where("duplicate_count > 1").select("component")
     number = several.join(_ranked(several, "component"), "component")
     best = best.join(number, "component", "left").drop("component")

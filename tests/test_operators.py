@@ -172,3 +172,16 @@ def test_fuzzy_query_needs_no_town_and_no_number(spark, tmp_path):
     spark.createDataFrame([], "domain string").write.parquet(f"{tmp_path}/shared_domains.parquet")
     assert {tuple(r) for r in queries.dedupe_fuzzy(spark, str(tmp_path)).collect()} == {(0, 1), (0, 2), (1, 2)}
     assert "dedupe_whole" in queries.QUERIES
+
+
+@pytest.mark.parametrize("most", [10**6, 10])
+def test_components_of_a_long_path_need_few_jobs(spark, most):
+    """In one task, and by contraction where the forests are too large for it."""
+    path = [(k, k + 1) for k in range(0, 3000, 2)] + [(k + 1, k) for k in range(1, 3000, 2)]
+    edges = spark.createDataFrame(path + [(5000, 4000)], "a long, b long").repartition(7)
+    spark.sparkContext.setJobGroup(f"path {most}", "")
+    got = {x.id: x.component for x in components(edges, most=most).collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"path {most}"))
+    spark.sparkContext.setJobGroup("", "")
+    assert got == {k: 0 for k in range(3001)} | {4000: 4000, 5000: 4000}
+    assert most < 100 or jobs <= 12
