@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut, discard, edit_distance, fold, is_missing, letters, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
+from .common import calm, cut, discard, edit_distance, fold, is_missing, letters, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
 from .encoding import _SUSPECT, repaired
 
 # Names and codes of the countries, folded.
@@ -272,6 +272,7 @@ def parsed(df: DataFrame, id: str, address: str, city: str | None, *keep: str) -
     arrow = to_arrow_schema(schema)
 
     def run(batches):
+        calm()
         for b in batches:
             got = [plain_form(a, c) or parse(a, c) or ("", "", "", "") for a, c in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist())]
             parts = [pa.array(x, pa.string()) for x in zip(*got)] or [pa.array([], pa.string())] * 4
@@ -466,13 +467,17 @@ def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str
     order = sorted(streets, key=lambda x: (-x[2], -x[1], x[0]))
     to: dict[str, str] = {}
     index: dict[str, str] = {}
-    near: dict[int, list[tuple[int, int, int, str, str]]] = {}  # by length and in order of falling counts: none is left out
+    near: dict[int, list[list]] = {}  # by length and in order of falling counts: none is left out; letters and pairs are read when needed
+    later: list[tuple[int, str, str]] = []  # what is not in near yet
     rare = max(0.1 * order[0][2], 2)
     for s, _, g in order:
         options = rewrites.of(s)
         hit = next((index[o] for o in options if o in index), None)
         damaged = "?" in s or "\ufffd" in s
-        if hit is None and near and (g <= rare or damaged):
+        if hit is None and (near or later) and (g <= rare or damaged):
+            for gc, c, o in later:
+                near.setdefault(len(o), []).append([gc, None, None, c, o])
+            later.clear()
             best: tuple[int, int, str] | None = None
             for o in options:
                 n = len(o)
@@ -488,9 +493,12 @@ def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str
                     most = (reach if m >= n else _limit(m)) + lost
                     if best and best[0] < most:
                         most = best[0]
-                    for gc, common, two, c, spelling in here:
+                    for known in here:
+                        gc, common, two, c, spelling = known
                         if gc < floor:
                             break
+                        if common is None:
+                            known[1], known[2] = common, two = letters(spelling), bigrams(spelling)
                         if (mine ^ common).bit_count() <= 2 * most and (pairs ^ two).bit_count() <= 6 * most:
                             d = typing_distance(o, spelling, most)
                             if d <= most and (best is None or (d, -gc, c) < best):
@@ -501,7 +509,7 @@ def cluster(streets: list[tuple[str, int, int]], rewrites: Rewrites) -> dict[str
         for o in options:
             index.setdefault(o, hit)
             if (hit == s or g > 2) and len(o) >= len(s):
-                near.setdefault(len(o), []).append((g, letters(o), bigrams(o), s, o))
+                later.append((g, s, o))
     return to
 
 

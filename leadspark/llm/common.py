@@ -28,10 +28,19 @@ MISSING_TEXTS = (
 )
 
 
+#: The characters of (?U)\s in Java's patterns.
+_WHITE = "\t\n\v\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def _stripped(c: Column) -> Column:
+    """A text without blanks of any kind at its ends."""
+    return F.btrim(c, F.lit(_WHITE))
+
+
 def missing(c: Column | str) -> Column:
     """True where a text is null, blank, or merely stands for "nothing here"."""
     c = F.col(c) if isinstance(c, str) else c
-    t = F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
+    t = F.lower(_stripped(c))
     return c.isNull() | (t == "") | t.isin(*MISSING_TEXTS)
 
 
@@ -53,7 +62,7 @@ def usable_phone(c: Column | str) -> Column:
 def usable_domain(c: Column | str) -> Column:
     """The lower-case host name, or null where it is missing or no host name."""
     c = F.col(c) if isinstance(c, str) else c
-    t = F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
+    t = F.lower(_stripped(c))
     return F.when(~missing(c) & t.rlike(r"^[^\s.@/]+(\.[^\s.@/]+)+$"), t)
 
 
@@ -196,12 +205,20 @@ def segment_probes(s: str, most: int) -> list[str]:
     return list(out)
 
 
+def calm() -> None:
+    """Python's collector looks for cycles less often, and no more at what earlier tasks kept: that are texts and numbers in caches, which it
+    would walk at the end of every task."""
+    gc.set_threshold(100_000, 50, 1000)
+    gc.freeze()
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str | T.StructType) -> DataFrame:
     """mapInArrow over lists: fn gets a batch's columns as lists and returns the result's."""
     out = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        calm()
         for b in batches:
             if b.num_rows:
                 got = fn({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns)})
@@ -216,6 +233,7 @@ def map_partitions(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iter
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        calm()
         lists = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns)} for b in batches if b.num_rows)
         for got in fn(lists):
             yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in arrow], schema=arrow)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from . import addresses
-from .common import cut, edit_distance, fold, is_missing, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
+from .common import cut, edit_distance, fold, is_missing, letters, map_batches, map_partitions, missing, typing_distance, usable_domain, usable_phone
 from .encoding import repaired
 from .metric import CELL
 
@@ -43,6 +43,26 @@ _NO_ORNAMENT = re.compile(r"[A-Za-zÀ-ž .,&]*$")
 _RUN_TOGETHER = re.compile(r"(?<=[a-zß-öø-ÿ])(?=[A-ZÀ-ÖØ-Þ])")
 
 
+# Long legal forms that are recognised with two typing mistakes.
+_LONG_FORMS = tuple((x, len(x), letters(x)) for x in ("unipessoallda", "unipessoal", "gmbhcokg"))
+
+
+def _long_form(tail: str) -> bool:
+    """Whether a text of more than eight letters is a long legal form, but for two typing mistakes. The bound of typing_distance comes first."""
+    n, got = len(tail), letters(tail)
+    return any(abs(m - n) < 3 and (got ^ bits).bit_count() <= 4 and typing_distance(tail, x, 2) <= 2 for x, m, bits in _LONG_FORMS)
+
+
+@lru_cache(50_000)
+def _home(city: str | None) -> tuple[list[str], str, str]:
+    """The words of a town's column, folded, the same in one word, and folded as it stands; empty if missing."""
+    if is_missing(city):
+        return [], "", ""
+    s = fold(repaired(city))
+    words = _TOKEN.findall(s)
+    return words, "".join(words), s
+
+
 @lru_cache(100_000)
 def organisation(name: str, city: str | None) -> str:
     """The words of a firm's name, folded, without legal form, ornaments and town; an abbreviation keeps its dot. Empty if missing."""
@@ -54,16 +74,16 @@ def organisation(name: str, city: str | None) -> str:
     s = fold(_RUN_TOGETHER.sub(" ", s))
     words = [w for w in _TOKEN.findall(s.replace("'", ""))]
     plain = [w.rstrip(".") for w in words]
-    home = [] if is_missing(city) else _TOKEN.findall(fold(repaired(city)))
+    home, joined, _ = _home(city)
     while len(words) > 1:  # legal forms, written together or apart, and the town, at the end
         for n in (5, 4, 3, 2, 1):
             tail = "".join(plain[-n:])
-            if len(words) > n and (tail in LEGAL or n <= 2 and len(tail) > 8 and any(abs(len(x) - len(tail)) < 3 and typing_distance(tail, x, 2) <= 2 for x in ("unipessoallda", "unipessoal", "gmbhcokg"))):
+            if len(words) > n and (tail in LEGAL or n <= 2 and 8 < len(tail) < 16 and _long_form(tail)):
                 words, plain = words[:-n], plain[:-n]
                 break
         else:
             n = len(home)
-            if n and len(words) > n and typing_distance("".join(plain[-n:]), "".join(home), 2) <= 2:
+            if n and len(words) > n and typing_distance("".join(plain[-n:]), joined, 2) <= 2:
                 words, plain = words[:-n], plain[:-n]
                 if len(words) > 1 and plain[-1] == "in":
                     words, plain = words[:-1], plain[:-1]
@@ -342,12 +362,12 @@ def _pairs(items: list[tuple[str, str]], person_field: bool) -> list[tuple[int,
 _COLUMNS = ("id", "placed", "business_name", "decision_maker_name", "city", "town", "p", "d")
 
 
-def _read(rows: list[tuple]) -> list[tuple]:
-    """Rows of _COLUMNS with their names in comparable form: (id, placed, org, who, org as stored, who as stored, home, p, d)."""
+def _read(rows: list[tuple], persons: bool = True) -> list[tuple]:
+    """Rows of _COLUMNS with their names in comparable form: (id, placed, org, who, org as stored, who as stored, home, p, d); without
+    persons who is empty."""
     out = []
     for i, placed, org, who, city, town, p, d in rows:
-        home = "" if is_missing(city) else fold(repaired(city))
-        out.append((i, placed, organisation(org, city) if org is not None else "", person(who) if who is not None else "", org, who, home or town, p, d))
+        out.append((i, placed, organisation(org, city) if org is not None else "", person(who) if persons and who is not None else "", org, who, _home(city)[2] or town, p, d))
     return out
 
 
@@ -426,6 +446,14 @@ def _row_pairs(block: str, rows: list[tuple]) -> list[tuple[str, int, int]]:
     return out
 
 
+def _links(block: str, rows: list[tuple]) -> list[tuple[str, int, int]]:
+    """The links of a block's rows of _COLUMNS. Names of which only one is stored have no variants and need not be read."""
+    orgs, whos = ({r[k] for r in rows} - {None} for k in (2, 3))
+    if len(orgs) < 2 and len(whos) < 2:
+        return []
+    return _row_pairs(block, _read(rows, len(whos) > 1))
+
+
 def linked(at: DataFrame) -> DataFrame:
     """(field_name, source_row_id_a, source_row_id_b): the pairs of rows of one block whose names agree and are not stored as one string.
 
@@ -442,12 +470,11 @@ def linked(at: DataFrame) -> DataFrame:
             out: list = []
             for bl, *r in zip(b["block"], *[b[c] for c in _COLUMNS]):
                 if bl != block:
-                    if len(rows) > 1:
-                        out += _row_pairs(block, _read(rows))
+                    out += _links(block, rows)
                     block, rows = bl, []
                 rows.append(tuple(r))
             yield dict(zip(("field_name", "source_row_id_a", "source_row_id_b"), map(list, zip(*out)) if out else ([],) * 3))
-        out = _row_pairs(block, _read(rows)) if len(rows) > 1 else []
+        out = _links(block, rows)
         yield dict(zip(("field_name", "source_row_id_a", "source_row_id_b"), map(list, zip(*out)) if out else ([],) * 3))
 
     got = map_partitions(streamed, run, _LINKS)

@@ -118,3 +118,61 @@ def test_candidates_hold_all_that_the_comparison_accepts():
             for b in names:
                 if a < b and same(a, b):
                     assert any(c == d and (x == y or (c, x, y) in found) for c, x in keys[a] for d, y in keys[b]) or run(a) in run(b) or run(b) in run(a), (a, b)
+
+
+def test_names_without_variants_are_not_read(monkeypatch):
+    """A block's names of which only one is stored have no variants; the links are those of reading all of them."""
+    import random
+
+    from leadspark.llm import names
+
+    r = random.Random(3)
+    firms, whos = ("Cafe Adler GmbH", "Café Adler", "Kafe Adler", "Metzgerei Huber", None, "-"), ("Anna Berg", "Berg, Anna", "A. Berg", None, None, "n/a")
+    for n in (2, 3, 5):
+        for _ in range(150):
+            some = r.sample(firms, r.choice((1, 2, 4))), r.sample(whos, r.choice((1, 2, 4)))
+            rows = [(k, r.random() < 0.5, r.choice(some[0]), r.choice(some[1]), r.choice(("Ulm", None)), "ulm", r.choice((1, 2, None)), None) for k in range(n)]
+            block = r.choice(("a|ulm|1|weg", "p+49301234567"))
+            assert sorted(names._links(block, rows)) == sorted(names._row_pairs(block, names._read(rows)))
+
+    def fail(*_):
+        raise AssertionError("read")
+
+    monkeypatch.setattr(names, "person", fail)
+    assert names._links("a|ulm|1|weg", [(k, True, f, "Anna Berg", "Ulm", "ulm", None, None) for k, f in enumerate(firms[:2])]) == [("business_name", 0, 1)]
+    monkeypatch.setattr(names, "organisation", fail)
+    assert names._links("a|ulm|1|weg", [(k, True, "Cafe Adler", None, "Ulm", "ulm", None, None) for k in range(9)]) == []
+
+
+def test_long_legal_forms_with_mistakes():
+    from leadspark.llm import names
+    from leadspark.llm.common import typing_distance
+
+    forms = ("unipessoallda", "unipessoal", "gmbhcokg")
+    for f in forms:
+        tails = [f] + [f[:i] + x + f[j:] for i in range(len(f)) for j in (i, i + 1) for x in ("", "x", "ab", f[i : i + 2][::-1])]
+        for t in [*tails, *[t[:3] + "q" + t[4:] for t in tails], "konditorei", "backerei"]:
+            if 8 < len(t) < 16:
+                assert names._long_form(t) == any(typing_distance(t, x, 2) <= 2 for x in forms)
+
+
+def test_workers_do_not_walk_what_earlier_tasks_kept(spark):
+    from leadspark.llm.common import map_batches
+
+    def kept(b):
+        import gc
+
+        return {"n": [gc.get_freeze_count()]}
+
+    assert map_batches(spark.range(1), kept, "n long").first().n > 0
+
+
+def test_missing_strips_all_that_java_calls_blank(spark):
+    from pyspark.sql import functions as F
+
+    from leadspark.llm.common import missing
+
+    blank = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+    d = spark.createDataFrame([(blank + "N/A" + blank,), (blank,), (None,), ("​N/A",), ("\x1cN/A",), ("N / A",)], "s string")
+    assert [x.m for x in d.select(missing("s").alias("m")).collect()] == [True, True, True, False, False, False]
+    assert d.select(F.explode(F.split("s", "")).alias("s")).where("s <> ''").where(missing("s") != (F.regexp_replace("s", r"(?U)^\s+|\s+$", "") == "")).count() == 0
